@@ -30,16 +30,16 @@ def start_snapshots(
 
     A version is the one before it merged with the batch's own metrics, so the work grows
     with the batch, not with the past.  Versions and rejects are written under the batch
-    number: a repeated batch replaces its own.  Within a batch the later event counts as
-    the later arrival.
+    number: a repeated batch replaces its own.  Within a batch the arrival order is the
+    order in which the source delivers the rows.
     """
 
     def fold(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        batch = batch.withColumn("arrival", F.monotonically_increasing_id()).persist()
         try:
             good, bad = usable_and_rejected(batch)
             bad.write.mode("overwrite").parquet(version(quarantine, number))
-            current = snapshot(good, arrival="event_time")
+            current = snapshot(good)
             if number > 0:
                 before = batch.sparkSession.read.parquet(version(metrics, number - 1))
                 current = merge_snapshots(before, current)
