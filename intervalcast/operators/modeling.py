@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping, Sequence
-
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
+from itertools import chain, product
+from math import sqrt
+from multiprocessing.pool import ThreadPool
+from statistics import fmean
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import hash_bucket
 from .accuracy import METRICS, scores
-from .preprocess import FeatureSpec, empty_columns, estimator_pipeline
+from .preprocess import FeatureSpec, empty_columns, estimator_pipeline, preprocessing_stages
 
 # The candidates and grids to compare.
 RF_PARAMS = {"maxDepth": 3, "numTrees": 10}
@@ -39,16 +47,34 @@ def candidates(label: str, seed: int | None = None) -> dict:
     }
 
 
-def _pipeline(train: DataFrame, spec: FeatureSpec, estimator) -> Pipeline:
+def _gaps(train: DataFrame, spec: FeatureSpec) -> list[str]:
     empty = empty_columns(train, spec)
     if empty:
         warnings.warn(f"no training values in {', '.join(empty)}: filled with 0", stacklevel=3)
-    return estimator_pipeline(spec, estimator, empty)
+    return empty
+
+
+@contextmanager
+def prepared(
+    train: DataFrame, spec: FeatureSpec, label: str
+) -> Iterator[tuple[PipelineModel, DataFrame]]:
+    """Fitted preprocessing and the cached (features, label) rows it gives.
+
+    Whatever is fitted inside shares one preprocessing of the same training rows.
+    """
+    stages = preprocessing_stages(spec, _gaps(train, spec))
+    model = Pipeline(stages=stages).fit(train)
+    rows = model.transform(train).select("features", label).persist()
+    try:
+        yield model, rows
+    finally:
+        rows.unpersist()
 
 
 def fit(train: DataFrame, spec: FeatureSpec, estimator) -> PipelineModel:
     """Fit preprocessing and model on the training rows."""
-    return _pipeline(train, spec, estimator).fit(train)
+    with prepared(train, spec, estimator.getLabelCol()) as (stages, rows):
+        return PipelineModel([*stages.stages, estimator.fit(rows)])
 
 
 def compare(
@@ -59,9 +85,11 @@ def compare(
     Returns the fitted models and a table with one row per model.
     """
     fitted, rows = {}, []
-    for name, estimator in models.items():
-        fitted[name] = fit(train, spec, estimator)
-        result = scores(fitted[name].transform(test), label)
+    with prepared(train, spec, label) as (stages, features):
+        for name, estimator in models.items():
+            fitted[name] = PipelineModel([*stages.stages, estimator.fit(features)])
+    for name, model in fitted.items():
+        result = scores(model.transform(test), label)
         rows.append((name, *[result[m] for m in METRICS]))
     schema = "model STRING, " + ", ".join(f"{m} DOUBLE" for m in METRICS)
     return fitted, train.sparkSession.createDataFrame(rows, schema)
@@ -74,6 +102,11 @@ def grid(estimator, values: Mapping[str, Sequence]) -> list:
     return builder.build()
 
 
+def with_folds(train: DataFrame, keys: Sequence[str], folds: int) -> DataFrame:
+    """Adds the fold a row is held out in, by key hash: the same in every run."""
+    return train.withColumn(FOLD, hash_bucket(keys, folds, salt="fold"))
+
+
 def cross_validate(
     train: DataFrame,
     spec: FeatureSpec,
@@ -81,42 +114,85 @@ def cross_validate(
     values: Mapping[str, Sequence],
     label: str,
     *,
+    keys: Sequence[str],
     folds: int = 3,
-    seed: int = 2025,
     parallelism: int = 2,
-    keys: Sequence[str] = (),
 ) -> CrossValidatorModel:
-    """k-fold search for the smallest RMSE; preprocessing is refitted in every fold.
+    """k-fold search for the smallest RMSE with Spark's validator, for any estimator.
 
-    With ``keys`` a row's fold comes from its key hash and is the same in every run;
-    without, it comes from Spark's seeded draw.
+    The validator fits the whole pipeline, preprocessing included, once per fold and grid
+    point.
     """
     validator = CrossValidator(
-        estimator=_pipeline(train, spec, estimator),
+        estimator=estimator_pipeline(spec, estimator, _gaps(train, spec)),
         estimatorParamMaps=grid(estimator, values),
         evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
         numFolds=folds,
-        seed=seed,
         parallelism=parallelism,
+        foldCol=FOLD,
     )
-    if keys:
-        train = train.withColumn(FOLD, hash_bucket(keys, folds, salt="fold"))
-        validator = validator.setFoldCol(FOLD)
-    return validator.fit(train)
-
-
-def tuning_report(result: CrossValidatorModel, df: DataFrame) -> DataFrame:
-    """One row per grid point: its parameters, mean RMSE and whether it won."""
-    points = result.getEstimatorParamMaps()
-    best = min(range(len(points)), key=result.avgMetrics.__getitem__)
-    names = sorted({param.name for point in points for param in point})
-    rows = [
-        (
-            *[float(next(v for p, v in point.items() if p.name == name)) for name in names],
-            float(rmse),
-            number == best,
-        )
-        for number, (point, rmse) in enumerate(zip(points, result.avgMetrics))
-    ]
-    schema = ", ".join(f"{name} DOUBLE" for name in names) + ", rmse DOUBLE, best BOOLEAN"
-    return df.sparkSession.createDataFrame(rows, schema)
+    return validator.fit(with_folds(train, keys, folds))
+
+
+@dataclass(frozen=True)
+class Search:
+    """Grid points with their RMSE per fold, and the winner fitted on all rows."""
+
+    points: list[dict]
+    rmse: list[list[float]]
+    best: dict
+    model: PipelineModel
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """One row per grid point: its parameters, mean RMSE and whether it won."""
+        names = sorted(self.best)
+        rows = [
+            (*[float(point[name]) for name in names], fmean(rmse), point == self.best)
+            for point, rmse in zip(self.points, self.rmse)
+        ]
+        schema = ", ".join(f"{name} DOUBLE" for name in names) + ", rmse DOUBLE, best BOOLEAN"
+        return spark.createDataFrame(rows, schema)
+
+
+def tune_boosting(
+    train: DataFrame,
+    spec: FeatureSpec,
+    label: str,
+    values: Mapping[str, Sequence],
+    *,
+    keys: Sequence[str],
+    folds: int = 3,
+    seed: int = 2025,
+    parallelism: int = 2,
+) -> Search:
+    """The k-fold search for boosted trees, with the same results and far fewer fits.
+
+    Preprocessing is fitted once per fold, not once per fold and grid point.  And boosting
+    is sequential: the first 10 trees of 50 are the model of 10 iterations, so the longest
+    run of each combination gives the errors of all its shorter ones.
+    """
+    values = dict(values)
+    lengths = sorted(values.pop("maxIter"))
+    combinations = [dict(zip(values, chosen)) for chosen in product(*values.values())]
+    points = [c | {"maxIter": n} for c in combinations for n in lengths]
+    rmse: list[list[float]] = [[] for _ in points]
+
+    folded = with_folds(train, keys, folds)
+    for fold in range(folds):
+        held_out = folded.filter(F.col(FOLD) == fold)
+        with prepared(folded.filter(F.col(FOLD) != fold), spec, label) as (stages, rows):
+            check = stages.transform(held_out).select("features", label).persist()
+
+            def errors(combination: dict) -> list[float]:
+                longest = boosted_trees(label, seed, maxIter=lengths[-1], **combination)
+                squared = longest.fit(rows).evaluateEachIteration(check, "squared")
+                return [sqrt(squared[n - 1]) for n in lengths]
+
+            with ThreadPool(parallelism) as pool:
+                found = pool.map(inheritable_thread_target(train.sparkSession)(errors), combinations)
+            check.unpersist()
+        for number, value in enumerate(chain.from_iterable(found)):
+            rmse[number].append(value)
+
+    best = points[min(range(len(points)), key=lambda i: fmean(rmse[i]))]
+    return Search(points, rmse, best, fit(train, spec, boosted_trees(label, seed, **best)))

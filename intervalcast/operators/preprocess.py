@@ -17,9 +17,11 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import nan_to_null
+
 FILLED = "_filled"
 ENCODED = "_ohe"
 
@@ -67,7 +69,7 @@ def _select(*extra: str) -> SQLTransformer:
 def empty_columns(train: DataFrame, spec: FeatureSpec) -> list[str]:
     """Columns without a single value in the training rows; no mean can fill them."""
     present = train.agg(
-        *[F.count(F.nanvl(F.col(n).cast("double"), F.lit(None))).alias(n) for n in spec.gappy]
+        *[F.count(nan_to_null(F.col(n).cast("double"))).alias(n) for n in spec.gappy]
     ).first()
     return [name for name in spec.gappy if present[name] == 0]
 
@@ -114,7 +116,16 @@ def estimator_pipeline(spec: FeatureSpec, estimator, empty: Sequence[str] = ())
 
 
 def impute_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill gaps of a joined table with the columns' own means, in place."""
+    """Fill gaps of a joined table with the columns' own means, in place.
+
+    One lazy plan: the means are a single row, and both uses of ``df`` share its shuffles.
+    """
     doubles = df.withColumns({name: F.col(name).cast("double") for name in columns})
-    imputer = Imputer(inputCols=list(columns), outputCols=list(columns), strategy="mean")
-    return imputer.fit(doubles).transform(doubles)
+    means = doubles.agg(*[F.avg(_number(name)).alias(f"_mean_{name}") for name in columns])
+    filled = {name: F.coalesce(_number(name), F.col(f"_mean_{name}")) for name in columns}
+    joined = doubles.crossJoin(F.broadcast(means)).withColumns(filled)
+    return joined.drop(*means.columns)
+
+
+def _number(name: str) -> Column:
+    return nan_to_null(F.col(name))

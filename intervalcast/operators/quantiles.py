@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from ..functions import nan_to_null
 
 BUCKETS = 4096
+# A range with at most this many rows is listed, not narrowed further.
+FEW = 10_000
 _LARGEST = sys.float_info.max
 
 
@@ -35,10 +37,11 @@ def _clamped(name: str) -> Column:
 
 @dataclass
 class _Target:
-    """One wanted rank of one column, and the range known to hold it."""
+    """One wanted rank of one column, and the value range known to hold it."""
 
     column: str
     rank: int
+    rows: int
     lo: float
     hi: float
     below: int = 0
@@ -52,31 +55,35 @@ class _Target:
         return self.column, self.lo, self.hi
 
 
-def _bucket(column: str, lo: float, hi: float) -> Column:
-    # Halves keep the width of the range finite.
-    share = (F.col(column) / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2)
-    number = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1).cast("bigint"))
-    return F.when(F.col(column).between(lo, hi), number)
+def _in_ranges(values: DataFrame, ranges: list[tuple[str, float, float]]) -> DataFrame:
+    """Rows (range, value) of the values inside one of the ranges.
+
+    The ranges of one column do not overlap, so a value falls into one of them or none.
+    """
+    columns = sorted({column for column, _, _ in ranges})
+    cells = [
+        F.struct(F.lit(number).alias("column"), F.col(name).alias("value"))
+        for number, name in enumerate(columns)
+    ]
+    holder = F.lit(None).cast("int")
+    for number, (column, lo, hi) in enumerate(ranges):
+        inside = (F.col("column") == columns.index(column)) & F.col("value").between(lo, hi)
+        holder = F.when(inside, number).otherwise(holder)
+    cut = values.select(F.inline(F.array(*cells))).select(holder.alias("range"), "value")
+    return cut.filter(F.col("range").isNotNull())
 
 
 def _narrow(values: DataFrame, targets: list[_Target]) -> None:
-    """One pass: shrink the range of every open target."""
+    """One pass: shrink the ranges of the targets to the bucket with the rank."""
     ranges = sorted({target.range for target in targets})
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(number).alias("range"),
-                _bucket(*where).alias("bucket"),
-                F.col(where[0]).alias("value"),
-            )
-            for number, where in enumerate(ranges)
-        ]
-    )
+    # Halves keep the width of a range finite.
+    start = F.get(F.array(*[F.lit(lo / 2) for _, lo, _ in ranges]), F.col("range"))
+    width = F.get(F.array(*[F.lit(hi / 2 - lo / 2) for _, lo, hi in ranges]), F.col("range"))
+    share = (F.col("value") / 2 - start) / width
+    bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1).cast("bigint"))
     counted = (
-        values.select(F.explode(cells).alias("cell"))
-        .select("cell.*")
-        .filter(F.col("bucket").isNotNull())
-        .groupBy("range", "bucket")
+        _in_ranges(values, ranges)
+        .groupBy("range", bucket.alias("bucket"))
         .agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
     )
     upto = Window.partitionBy("range").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -97,7 +104,25 @@ def _narrow(values: DataFrame, targets: list[_Target]) -> None:
             c for c in found if c["range"] == number and c["upto"] - c["n"] <= left < c["upto"]
         )
         target.below += cell["upto"] - cell["n"]
-        target.lo, target.hi = cell["lo"], cell["hi"]
+        target.rows, target.lo, target.hi = cell["n"], cell["lo"], cell["hi"]
+
+
+def _pick(values: DataFrame, targets: list[_Target]) -> None:
+    """The last pass: ranges of few rows are listed and the ranks read off."""
+    ranges = sorted({target.range for target in targets})
+    listed = (
+        _in_ranges(values, ranges)
+        .groupBy("range")
+        .agg(F.sort_array(F.collect_list("value")).alias("values"))
+    )
+    places = [
+        F.get("values", target.rank - target.below).alias(f"_{number}")
+        for number, target in enumerate(targets)
+    ]
+    rows = {row["range"]: row for row in listed.select("range", *places).collect()}
+    for number, target in enumerate(targets):
+        value = rows[ranges.index(target.range)][f"_{number}"]
+        target.lo = target.hi = value
 
 
 def exact_quantiles(
@@ -115,10 +140,15 @@ def exact_quantiles(
         for p in probabilities if count else ():
             first = int(p * (count - 1))
             for rank in {first, min(first + 1, count - 1)}:
-                wanted[column, rank] = _Target(column, rank, lo, hi)
+                wanted[column, rank] = _Target(column, rank, count, lo, hi)
+
+    def still_open() -> list[_Target]:
+        return [target for target in wanted.values() if target.open]
 
-    while remaining := [target for target in wanted.values() if target.open]:
-        _narrow(values, remaining)
+    while large := [target for target in still_open() if target.rows > FEW]:
+        _narrow(values, large)
+    if few := still_open():
+        _pick(values, few)
 
     result: dict[str, list[float | None]] = {}
     for column, (count, _, _) in extent.items():

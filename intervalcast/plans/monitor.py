@@ -10,12 +10,12 @@ from ..operators.monitor import merge_snapshots, screen, snapshot
 from ..sources.sinks import paced
 
 
-def usable_and_rejected(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    screened = screen(messages)
-    return (
-        screened.filter(F.col("reject").isNull()).drop("reject"),
-        screened.filter(F.col("reject").isNotNull()).select("key", "value", "reject"),
-    )
+def usable(screened: DataFrame) -> DataFrame:
+    return screened.filter(F.col("reject").isNull()).drop("reject")
+
+
+def rejected(screened: DataFrame) -> DataFrame:
+    return screened.filter(F.col("reject").isNotNull()).select("key", "value", "reject")
 
 
 def start_snapshots(
@@ -35,17 +35,17 @@ def start_snapshots(
     """
 
     def fold(batch: DataFrame, number: int) -> None:
-        batch = batch.withColumn("arrival", F.monotonically_increasing_id()).persist()
+        numbered = batch.withColumn("arrival", F.monotonically_increasing_id())
+        screened = screen(numbered).persist()
         try:
-            good, bad = usable_and_rejected(batch)
-            bad.write.mode("overwrite").parquet(version(quarantine, number))
-            current = snapshot(good)
+            rejected(screened).write.mode("overwrite").parquet(version(quarantine, number))
+            current = snapshot(usable(screened))
             if number > 0:
                 before = batch.sparkSession.read.parquet(version(metrics, number - 1))
                 current = merge_snapshots(before, current)
             current.coalesce(1).write.mode("overwrite").parquet(version(metrics, number))
         finally:
-            batch.unpersist()
+            screened.unpersist()
 
     writer = messages.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return paced(writer, every).start()

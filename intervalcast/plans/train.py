@@ -6,11 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.accuracy import scores
-from ..operators.modeling import FULL_GRID, boosted_trees, candidates, compare, cross_validate
+from ..operators.modeling import FULL_GRID, Search, candidates, compare, tune_boosting
 from ..operators.outliers import bounds_on_driver, range_filter, sigma_bounds
 from ..operators.split import hash_sample, hash_split
 from ..settings import ModelSettings, Settings
@@ -24,7 +23,7 @@ class Training:
     """What a training run leaves behind."""
 
     benchmark: DataFrame
-    search: CrossValidatorModel
+    search: Search
     model: PipelineModel
     scores: dict[str, float]
 
@@ -57,24 +56,13 @@ def train_on(
     model = settings.model
     use_checkpoints(frame.sparkSession)
     train, test = prepare(frame, model, keys)
-    train.persist()
-    try:
-        _, benchmark = compare(
-            train, test, spec, model.label_col, candidates(model.label_col, model.seed)
-        )
-        search = cross_validate(
-            train,
-            spec,
-            boosted_trees(model.label_col, model.seed),
-            grid,
-            model.label_col,
-            folds=model.cv_folds,
-            seed=model.seed,
-            keys=keys,
-        )
-    finally:
-        train.unpersist()
-    best = search.bestModel
+    _, benchmark = compare(
+        train, test, spec, model.label_col, candidates(model.label_col, model.seed)
+    )
+    search = tune_boosting(
+        train, spec, model.label_col, grid, keys=keys, folds=model.cv_folds, seed=model.seed
+    )
+    best = search.model
     save_model(best, settings.paths.model)
     return Training(benchmark, search, best, scores(best.transform(test), model.label_col))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import decade, log_size
 from ..operators.features import add_angle_features, add_interval_features, add_size_features
 from ..operators.preprocess import FeatureSpec, impute_means, preprocessing_stages
+from ..sources.scratch import materialise
 from .intervals import frame
 from .registry import FRAME_SQL, query, rounded, table
 
@@ -184,7 +185,7 @@ def model_frame(spark, sf_dir):
 )
 def feature_vector(spark, sf_dir):
     """Width of the assembled vector and the sum of its parts, for every row."""
-    rows = model_frame(spark, sf_dir)
+    rows = materialise(model_frame(spark, sf_dir), "frame")
     stages = Pipeline(stages=preprocessing_stages(SPEC)).fit(rows)
     parts = vector_to_array("features")
     out = stages.transform(rows).select(

@@ -47,16 +47,16 @@ def metric_latest(spark, sf_dir):
 
 
 @query(
-    f"""WITH l AS (SELECT event_id, epoch_us(TIMESTAMP '{NOW}') / 1e6 - epoch_us(ts) / 1e6 AS lag FROM events)
-        SELECT round(arg_max(lag, event_id), 3) AS lag_seconds,
-               round(avg(lag), 3) AS mean_lag_seconds, round(max(lag), 3) AS max_lag_seconds
+    f"""WITH l AS (SELECT event_id, (epoch_us(TIMESTAMP '{NOW}') - epoch_us(ts)) / 1e6 AS lag FROM events)
+        SELECT arg_max(lag, event_id) AS lag_seconds, round(avg(lag), 3) AS mean_lag_seconds,
+               max(lag) AS max_lag_seconds
         FROM l"""
 )
 def metric_lag(spark, sf_dir):
     lag = monitor.newest_lag(
         table(spark, sf_dir, "events"), event_time="ts", arrival="event_id", now=now()
     )
-    return rounded(lag, lag_seconds=3, mean_lag_seconds=3, max_lag_seconds=3)
+    return rounded(lag, mean_lag_seconds=3)
 
 
 LES = [*map(monitor.bound_name, monitor.BOUNDS), "+Inf"]
@@ -82,7 +82,7 @@ def metric_histogram(spark, sf_dir):
 @query(
     f"""SELECT '{monitor.PROCESSED}' AS metric, '' AS labels, CAST(count(*) AS DOUBLE) AS value FROM events
         UNION ALL SELECT '{monitor.LAG}', '',
-               round(arg_max(epoch_us(TIMESTAMP '{NOW}') / 1e6 - epoch_us(ts) / 1e6, event_id), 4) FROM events
+               round(arg_max((epoch_us(TIMESTAMP '{NOW}') - epoch_us(ts)) / 1e6, event_id), 4) FROM events
         UNION ALL SELECT '{monitor.DISTRIBUTION}_count', '', count(value) FROM events
         UNION ALL SELECT '{monitor.DISTRIBUTION}_sum', '', round(sum(value), 4) FROM events
         UNION ALL SELECT '{monitor.LATEST}',

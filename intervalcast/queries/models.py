@@ -11,9 +11,8 @@ from ..operators.modeling import (
     boosted_trees,
     candidates,
     compare,
-    cross_validate,
     fit,
-    tuning_report,
+    tune_boosting,
 )
 from ..plans.train import prepare
 from ..settings import ModelSettings
@@ -45,17 +44,9 @@ def bench_models(spark, sf_dir):
 def tune_gbt(spark, sf_dir):
     """Cross-validated grid over depth and iterations, the winner marked."""
     train, _ = parts(spark, sf_dir)
-    search = cross_validate(
-        train,
-        SPEC,
-        boosted_trees(LABEL, MODEL.seed),
-        {"maxDepth": [2, 3], "maxIter": [5, 10]},
-        LABEL,
-        folds=2,
-        seed=MODEL.seed,
-        keys=KEY,
-    )
-    return tuning_report(search, train)
+    grid = {"maxDepth": [2, 3], "maxIter": [5, 10]}
+    search = tune_boosting(train, SPEC, LABEL, grid, keys=KEY, folds=2, seed=MODEL.seed)
+    return search.report(spark)
 
 
 def saved_model(spark, train):
