@@ -112,9 +112,8 @@ def scored_stream(
     spark: SparkSession, settings: Settings, options: Options = Options()
 ) -> tuple[DataFrame, str]:
     """The predictions table as a watermarked stream, and its time column for windows."""
-    stored = stream_parquet(
-        spark, settings.paths.output(PREDICTIONS), PREDICTION.add(DATE, T.DateType())
-    ).drop(DATE)
+    dated = T.StructType([*PREDICTION.fields, T.StructField(DATE, T.DateType())])
+    stored = stream_parquet(spark, settings.paths.output(PREDICTIONS), dated).drop(DATE)
     timed = with_event_time(stored, "event_time", settings.stream.watermark, zone=options.zone)
     return timed, "local_time" if options.zone else "event_time"
 

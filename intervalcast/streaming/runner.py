@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,18 +21,23 @@ def finish(query: StreamingQuery) -> StreamingQuery:
 
 
 def supervise(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
-    """Block until any query ends; stop the others if it failed, and raise its error.
+    """Block until all queries have ended; when one fails, stop the others and raise.
 
-    Queries that end regularly are waited for one after the other.
+    Failures of other queries of the session are not this call's business.
     """
     running = list(queries)
     try:
-        while any(query.isActive for query in running):
-            spark.streams.awaitAnyTermination()
+        while True:
             spark.streams.resetTerminated()
-        for query in running:
-            if query.exception() is not None:
-                raise query.exception()
+            for query in running:
+                if query.exception() is not None:
+                    raise query.exception()
+            if not any(query.isActive for query in running):
+                return
+            try:
+                spark.streams.awaitAnyTermination()
+            except StreamingQueryException:
+                pass  # whose it was is seen above
     except BaseException:
         stop_all(running)
         raise
