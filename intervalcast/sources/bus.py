@@ -2,11 +2,13 @@
 
 ``Bus("kafka", ...)`` needs the Kafka connector on the class path.  ``Bus("files", ...)``
 keeps each topic as a folder of Parquet files with the same two columns, for systems
-without a broker and for replays.
+without a broker and for replays.  Both deliver at least once: a writer that is restarted
+in the middle of a batch may send it again.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from typing import Literal
 
@@ -50,7 +52,7 @@ class Bus:
                 .load()
             )
             return decode(raw)
-        reader = spark.readStream.schema(BUS_RECORD)
+        reader = spark.readStream.schema(BUS_RECORD).option("recursiveFileLookup", True)
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
         return reader.parquet(self._topic_folder(topic))
@@ -65,7 +67,8 @@ class Bus:
                 .load()
             )
             return decode(raw)
-        return spark.read.schema(BUS_RECORD).parquet(self._topic_folder(topic))
+        reader = spark.read.schema(BUS_RECORD).option("recursiveFileLookup", True)
+        return reader.parquet(self._topic_folder(topic))
 
     def send(self, records: DataFrame, topic: str) -> None:
         """Append a table of records to the topic."""
@@ -77,7 +80,7 @@ class Bus:
                 .save()
             )
         else:
-            records.write.mode("append").parquet(self._topic_folder(topic))
+            records.write.parquet(f"{self._topic_folder(topic)}/{uuid.uuid4().hex}")
 
     def publish(
         self,
@@ -101,7 +104,14 @@ class Bus:
                 .option("topic", topic)
             )
         else:
-            writer = writer.format("parquet").option("path", self._topic_folder(topic))
+            # A folder per batch, so that several writers can share a topic.
+            sender = checkpoint.rstrip("/").rpartition("/")[2]
+            folder = f"{self._topic_folder(topic)}/{sender}"
+
+            def send(batch: DataFrame, number: int) -> None:
+                batch.write.mode("overwrite").parquet(f"{folder}-{number}")
+
+            writer = writer.foreachBatch(send)
         return writer.start()
 
 
