@@ -22,11 +22,19 @@ def _floor_hour(ts: Column, hours: int) -> Column:
 
 
 def interval_start(ts: Column, hours: int = 6, *, zoneless: bool = False) -> Column:
-    """Start of the interval a time falls in; TIMESTAMP_NTZ if ``zoneless``."""
+    """Start of the interval a time falls in; TIMESTAMP_NTZ if ``ts`` is ``zoneless``.
+
+    A window of whole hours that divide the day, cut on the clock reading, starts at these
+    hours of every day.  This is plain arithmetic on the stored number; taking the time
+    apart and putting it together again costs several times as much.  A window drops rows
+    without a time, so those are given one and lose it again.
+    """
     _check(hours)
-    make = F.make_timestamp_ntz if zoneless else F.make_timestamp_ltz
-    zero = F.lit(0)
-    return make(F.year(ts), F.month(ts), F.dayofmonth(ts), _floor_hour(ts, hours), zero, zero)
+    clock = ts if zoneless else ts.cast("timestamp_ntz")
+    some_time = F.lit("1970-01-01").cast("timestamp_ntz")
+    start = F.window(F.coalesce(clock, some_time), f"{hours} hours").start
+    kept = F.when(ts.isNotNull(), start)
+    return kept if zoneless else kept.cast("timestamp")
 
 
 def interval_index(ts: Column, hours: int = 6) -> Column:

@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.accuracy import scores
 from ..operators.modeling import FULL_GRID, Search, candidates, compare, tune_boosting
 from ..operators.outliers import bounds_on_driver, range_filter, sigma_bounds
-from ..operators.split import hash_sample, hash_split
+from ..operators.split import hash_sample, split_label
 from ..settings import ModelSettings, Settings
 from ..sources.models import save_model
 from ..sources.scratch import materialise, use_checkpoints
@@ -34,12 +35,14 @@ def prepare(
     """(train, test) from the frame.
 
     Sample and split follow the rows' keys, so they are the same in every run.  Outlier
-    bounds are fitted on the training rows and applied to those only.  Both parts are
-    written out first: tens of fits read them, and none should repeat the resampling and
-    the joins.
+    bounds are fitted on the training rows and applied to those only.  The parts are
+    written out first, in a folder each: tens of fits read them, and none should repeat the
+    resampling, the joins and the split.
     """
     sampled = hash_sample(frame, keys, model.sample_fraction, salt=f"sample{model.seed}")
-    train, test = hash_split(materialise(sampled, "frame"), keys, model.train_ratio)
+    labelled = split_label(sampled, keys, model.train_ratio)
+    stored = materialise(labelled, "frame", partition_by=["part"])
+    train, test = (stored.filter(F.col("part") == part).drop("part") for part in ("train", "test"))
     lo, hi = bounds_on_driver(sigma_bounds(train, model.label_col, model.outlier_sigma))
     return range_filter(train, model.label_col, lo, hi), test
 

@@ -82,7 +82,7 @@ def interval_totals(spark, sf_dir):
 
 @query(
     f"""SELECT c_nationkey AS site_id, {floor_sql()} AS interval_start,
-               round(avg(value), 6) + 0.0 AS condition, round(avg(value % 360), 6) + 0.0 AS angle
+               round(avg(value), 7) + 0.0 AS condition, round(avg(value % 360), 7) + 0.0 AS angle
         FROM events JOIN customer ON c_custkey = user_id
         WHERE event_type = 'view' GROUP BY ALL"""
 )
@@ -90,7 +90,7 @@ def interval_means(spark, sf_dir):
     means = interval_mean(
         conditions(spark, sf_dir), keys=["site_id"], ts="ts", values=["condition", "angle"]
     )
-    return rounded(means, condition=6, angle=6)
+    return rounded(means, condition=7, angle=7)
 
 
 @query(
@@ -142,7 +142,7 @@ PEAKS_SQL = """
                CAST(month(o_orderdate) AS INTEGER) AS month,
                CAST(day(o_orderdate) AS INTEGER) AS day,
                {label_sql("o_orderdate")} AS time_interval,
-               round(avg(o_totalprice), 4) + 0.0 AS o_totalprice
+               round(avg(o_totalprice), 7) + 0.0 AS o_totalprice
         FROM orders GROUP BY ALL"""
 )
 def calendar_means(spark, sf_dir):
@@ -154,7 +154,7 @@ def calendar_means(spark, sf_dir):
         ts="o_orderdate",
         values=["o_totalprice"],
     )
-    return rounded(means, o_totalprice=4)
+    return rounded(means, o_totalprice=7)
 
 
 @query(
@@ -169,14 +169,14 @@ def enrich_left(spark, sf_dir):
 
 @query(
     f"""SELECT user_id, event_type, interval_start, site_id, round(total, 4) + 0.0 AS total,
-               round(condition, 6) + 0.0 AS condition
+               round(condition, 7) + 0.0 AS condition
         FROM ({FRAME_SQL})"""
 )
 def enrich_interval(spark, sf_dir):
     joined = frame(spark, sf_dir).select(
         "user_id", "event_type", "interval_start", "site_id", "total", "condition"
     )
-    return rounded(joined, total=4, condition=6)
+    return rounded(joined, total=4, condition=7)
 
 
 @query(
@@ -192,7 +192,7 @@ def enrich_interval(spark, sf_dir):
           FROM events JOIN customer ON c_custkey = user_id
           WHERE event_type = 'view' GROUP BY ALL)
         SELECT s.user_id, s.event_type, e.site_id, s.year, s.month, s.day, s.time_interval,
-               round(total, 4) + 0.0 AS total, round(condition, 6) + 0.0 AS condition
+               round(total, 4) + 0.0 AS total, round(condition, 7) + 0.0 AS condition
         FROM s LEFT JOIN ({ENTITIES_SQL}) e USING (user_id)
         LEFT JOIN m ON m.site_id = e.site_id AND m.year = s.year AND m.month = s.month
                    AND m.day = s.day AND m.time_interval = s.time_interval"""
@@ -214,12 +214,12 @@ def enrich_calendar(spark, sf_dir):
         means,
         ["site_id", "year", "month", "day", "time_interval"],
     )
-    return rounded(joined, total=4, condition=6)
+    return rounded(joined, total=4, condition=7)
 
 
 @query(
     f"""SELECT user_id, event_type, interval_start, site_id, segment,
-               round(total, 4) + 0.0 AS total, round(condition, 6) + 0.0 AS condition,
+               round(total, 4) + 0.0 AS total, round(condition, 7) + 0.0 AS condition,
                round(ln(1 + area), 6) + 0.0 AS log_area,
                CAST(month(interval_start) AS INTEGER) AS month,
                CAST(hour(interval_start) // 6 AS INTEGER) AS time_interval_num,
@@ -238,7 +238,7 @@ def training_frame(spark, sf_dir):
     return rounded(
         featured,
         total=4,
-        condition=6,
+        condition=7,
         log_area=6,
         time_sin=6,
         time_cos=6,

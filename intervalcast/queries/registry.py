@@ -81,7 +81,11 @@ def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
-    """Sums and means come out in another order on every run; compare what is settled."""
+    """Sums are added up in another order on every run; compare the digits that are settled.
+
+    Values have two decimals, so sums are exact at four.  A mean of 2 ** (n - 1) values may
+    lie halfway between two n-digit numbers: means of intervals are compared at seven.
+    """
     return df.withColumns({name: F.round(name, n) for name, n in digits.items()})
 
 

@@ -115,7 +115,7 @@ def stream_window_local(spark, sf_dir):
 
 
 @query(
-    f"""SELECT w AS ts, event_type, round(avg(value), 6) + 0.0 AS value
+    f"""SELECT w AS ts, event_type, round(avg(value), 7) + 0.0 AS value
         FROM (SELECT event_type, value, {floor_sql()} AS w FROM events)
         GROUP BY w, event_type HAVING w + INTERVAL '6 hours' <= {CLOSED_SQL}"""
 )
@@ -128,7 +128,7 @@ def stream_window_means(spark, sf_dir):
         keys=["event_type"],
         values=["value"],
     )
-    return rounded(stored(spark, means, "window-means"), value=6)
+    return rounded(stored(spark, means, "window-means"), value=7)
 
 
 @query(

@@ -223,7 +223,7 @@ def csv_buildings(spark, sf_dir):
 
 @query(
     f"""SELECT c_nationkey AS site_id, {floor_sql()} AS interval_start,
-               round(avg(value), 6) + 0.0 AS air_temperature
+               round(avg(value), 7) + 0.0 AS air_temperature
         FROM events JOIN customer ON c_custkey = user_id GROUP BY ALL"""
 )
 def csv_weather(spark, sf_dir):
@@ -243,4 +243,4 @@ def csv_weather(spark, sf_dir):
     means = interval_mean(
         weather, keys=["site_id"], ts="timestamp", values=["air_temperature"]
     )
-    return rounded(means, air_temperature=6)
+    return rounded(means, air_temperature=7)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,14 +32,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> DataFrame:
     """The rows as a columnar table in a new shared folder, with no lineage behind them.
 
     What is read from here on stays the same after a lost executor, and each reader fetches
-    only the columns it needs.
+    only the columns (and, with ``partition_by``, the folders) it needs.
     """
     folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.partitionBy(*partition_by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
