@@ -150,13 +150,14 @@ def snapshot(
 ) -> DataFrame:
     """All metric families in one table (metric, labels, value), a row per label set.
 
-    The records are read once: everything is aggregated per label set first, and the
-    families without labels are sums over that small result.
+    One pass over the records: everything is aggregated per label set first, and families
+    without labels are combined from that small result.  With numbers or times as
+    ``arrival`` this is a hash aggregate; a struct would make it sort the records.
     """
     now = F.current_timestamp() if now is None else now
     order = F.col(arrival) if isinstance(arrival, str) else arrival
     lag = seconds_between(now, F.col(event_time))
-    newest = F.when(lag.isNotNull(), F.struct(order.alias("order"), lag.alias("lag")))
+    timed = F.when(lag.isNotNull(), order)
     names = [f"_le{i}" for i in range(len(BOUNDS) + 1)]
     per_label = records.groupBy(*[or_unknown(F.col(name)).alias(name) for name in labels]).agg(
         *_bucket_counts(value, BOUNDS),
@@ -164,51 +165,53 @@ def snapshot(
         F.count(value).alias("_count"),
         F.sum(value).alias("_sum"),
         F.max_by(F.col(value), order).alias("_latest"),
-        F.max(newest).alias("_newest"),
-    )
-    whole = per_label.agg(
-        *[F.sum(name).alias(name) for name in [*names, "_records", "_count", "_sum"]],
-        F.max("_newest").alias("_newest"),
+        F.max(order).alias("_order"),
+        F.max_by(lag, timed).alias("_lag"),
+        F.max(timed).alias("_timed"),
     )
 
-    def sample(metric: str, label_text: Column, number: Column) -> Column:
+    def sample(metric: str, number: str, of: Column | None = None, order: str = "_order") -> Column:
         return F.struct(
             F.lit(metric).alias("metric"),
-            label_text.alias("labels"),
-            number.cast("double").alias("value"),
+            (F.lit("") if of is None else of).alias("labels"),
+            F.col(number).cast("double").alias("value"),
+            F.col(order).alias("order"),
         )
 
-    none = F.lit("")
+    label_text = F.concat_ws(",", *[F.format_string(f'{n}="%s"', F.col(n)) for n in labels])
     bounds = [*map(bound_name, BOUNDS), bound_name(None)]
-    families = [
-        sample(PROCESSED, none, F.col("_records")),
-        sample(LAG, none, F.col("_newest.lag")),
-        sample(f"{DISTRIBUTION}_count", none, F.col("_count")),
-        sample(f"{DISTRIBUTION}_sum", none, F.col("_sum")),
+    samples = [
+        sample(PROCESSED, "_records"),
+        sample(LATEST, "_latest", label_text),
+        sample(LAG, "_lag", order="_timed"),
+        sample(f"{DISTRIBUTION}_count", "_count"),
+        sample(f"{DISTRIBUTION}_sum", "_sum"),
         *[
-            sample(f"{DISTRIBUTION}_bucket", F.lit(f'le="{le}"'), F.col(name))
+            sample(f"{DISTRIBUTION}_bucket", name, F.lit(f'le="{le}"'))
             for le, name in zip(bounds, names)
         ],
     ]
-    label_text = F.concat_ws(",", *[F.format_string(f'{n}="%s"', F.col(n)) for n in labels])
-    latest = per_label.select(F.inline(F.array(sample(LATEST, label_text, F.col("_latest")))))
-    return whole.select(F.inline(F.array(*families))).unionByName(latest)
+    return _combined(per_label.select(F.inline(F.array(*samples))))
 
 
-def merge_snapshots(earlier: DataFrame, later: DataFrame) -> DataFrame:
-    """Two snapshots of successive records as one: counters add up, gauges take the later."""
-    both = earlier.withColumn("_order", F.lit(0)).unionByName(later.withColumn("_order", F.lit(1)))
-    gauge = F.col("metric").isin(LATEST, LAG)
-    grouped = (
-        both.filter(F.col("value").isNotNull())
-        .groupBy("metric", "labels")
-        .agg(F.sum("value").alias("_sum"), F.max_by("value", "_order").alias("_last"))
+def _combined(samples: DataFrame) -> DataFrame:
+    """Samples (metric, labels, value, order) of one metric each: counters add up, gauges
+    take the last."""
+    grouped = samples.groupBy("metric", "labels").agg(
+        F.sum("value").alias("_sum"), F.max_by("value", "order").alias("_last")
     )
+    gauge = F.col("metric").isin(LATEST, LAG)
     return grouped.select(
         "metric", "labels", F.when(gauge, F.col("_last")).otherwise(F.col("_sum")).alias("value")
     )
 
 
+def merge_snapshots(earlier: DataFrame, later: DataFrame) -> DataFrame:
+    """Two snapshots of successive records as one."""
+    both = earlier.withColumn("order", F.lit(0)).unionByName(later.withColumn("order", F.lit(1)))
+    return _combined(both.filter(F.col("value").isNotNull()))
+
+
 def _seconds(count: int) -> str:
     return f"{count} seconds"
 
