@@ -33,3 +33,13 @@ def test_entry(spark):
     df = entry(spark)
     keys = ["user_id", "event_type", "interval_start"]
     assert df.count() == df.select(*keys).distinct().count() > 0
+
+
+@pytest.mark.parametrize("name", ["stream_window_complete", "training_frame", "time_order"])
+def test_tables_of_many_files(spark, tmp_path, duck, name):
+    """A table may be a folder of files, as on a cluster, in place of a single file."""
+    for table in ("events", "customer"):
+        rows = spark.read.parquet(f"{TABLES}/{table}.parquet")
+        rows.repartition(5).write.parquet(str(tmp_path / f"{table}.parquet"))
+    query = REGISTRY[name]
+    assert check.differences(query.build(spark, str(tmp_path)), duck, query.sql) == []
