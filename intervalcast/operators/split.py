@@ -27,12 +27,17 @@ def random_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def hash_sample(
-    df: DataFrame, keys: Sequence[str], fraction: float, *, salt: str = ""
+    df: DataFrame,
+    keys: Sequence[str],
+    fraction: float,
+    *,
+    salt: str = "",
+    portable: bool = False,
 ) -> DataFrame:
     """Rows whose key hash falls in the first ``fraction`` of the hash range."""
     if fraction >= 1.0:
         return df
-    return df.filter(hash_bucket(keys, STEPS, salt=salt) < round(fraction * STEPS))
+    return df.filter(hash_bucket(keys, STEPS, salt=salt, portable=portable) < round(fraction * STEPS))
 
 
 def random_split(df: DataFrame, ratio: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -40,17 +45,19 @@ def random_split(df: DataFrame, ratio: float, seed: int) -> tuple[DataFrame, Dat
     return train, test
 
 
-def split_label(df: DataFrame, keys: Sequence[str], ratio: float = 0.8) -> DataFrame:
+def split_label(
+    df: DataFrame, keys: Sequence[str], ratio: float = 0.8, *, portable: bool = False
+) -> DataFrame:
     """Adds ``part``: ``train`` or ``test``, decided by the key hash in percent."""
-    in_train = hash_bucket(keys) < round(ratio * 100)
+    in_train = hash_bucket(keys, portable=portable) < round(ratio * 100)
     return df.withColumn("part", F.when(in_train, F.lit("train")).otherwise(F.lit("test")))
 
 
 def hash_split(
-    df: DataFrame, keys: Sequence[str], ratio: float = 0.8
+    df: DataFrame, keys: Sequence[str], ratio: float = 0.8, *, portable: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) by key hash."""
-    in_train = hash_bucket(keys) < round(ratio * 100)
+    in_train = hash_bucket(keys, portable=portable) < round(ratio * 100)
     return df.filter(in_train), df.filter(~in_train)
 
 

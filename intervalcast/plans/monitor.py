@@ -55,8 +55,10 @@ def version(path: str, number: int) -> str:
     return f"{path}/batch={number}"
 
 
-def latest_version(spark: SparkSession, metrics: str) -> DataFrame:
-    """The newest metrics table."""
+def latest_version(spark: SparkSession, metrics: str, number: int | None = None) -> DataFrame:
+    """The newest metrics table; with the batch ``number`` known, without looking for it."""
+    if number is not None:
+        return spark.read.parquet(version(metrics, number))
     versions = spark.read.parquet(metrics)
     newest = versions.agg(F.max("batch")).first()[0]
     return versions.filter(F.col("batch") == newest).drop("batch")

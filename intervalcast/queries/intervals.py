@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import interval_index, interval_label
-from ..operators.enrich import attach, categories_table, fan_out
+from ..operators.enrich import attach, categories_table, fan_out, fan_out_by
 from ..operators.features import add_interval_features
 from ..operators.resample import (
     calendar_mean,
@@ -256,6 +256,16 @@ def category_fan_out(spark, sf_dir):
     return fan_out(table(spark, sf_dir, "customer").select("c_custkey"), "meter_type", METER_TYPES)
 
 
+@query(
+    """SELECT c_custkey AS user_id, event_type
+       FROM customer LEFT JOIN (SELECT DISTINCT user_id, event_type FROM events) ON c_custkey = user_id"""
+)
+def owned_fan_out(spark, sf_dir):
+    """Each entity once per category it has readings of; entities without any stay."""
+    users = entities(spark, sf_dir).select("user_id")
+    return fan_out_by(users, readings(spark, sf_dir), ["user_id"], category="event_type")
+
+
 @query(
     """SELECT t.event_type, count(event_id) AS events
        FROM (VALUES ('view'), ('click'), ('purchase'), ('refund')) t(event_type)

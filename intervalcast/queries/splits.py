@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import outliers, split
 from .intervals import totals
 from .registry import TOTALS_SQL, query, rounded, table
@@ -35,7 +37,7 @@ def sigma_filter(spark, sf_dir):
 )
 def hash_split(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id")
-    return split.split_label(events, ["event_id"])
+    return split.split_label(events, ["event_id"], portable=True)
 
 
 @query(
@@ -47,9 +49,12 @@ def hash_split(spark, sf_dir):
 def train_only_filter(spark, sf_dir):
     """Bounds from the training rows, applied to them; the test rows are all kept."""
     events = table(spark, sf_dir, "events").select("event_id", "value")
-    train, test = split.train_only_filter(*split.hash_split(events, ["event_id"]), "value")
-    both = [split.split_label(part, ["event_id"]) for part in (train, test)]
-    return both[0].unionByName(both[1]).select("event_id", "part")
+    parts = split.hash_split(events, ["event_id"], portable=True)
+    train, test = split.train_only_filter(*parts, "value")
+    named = train.withColumn("part", F.lit("train")).unionByName(
+        test.withColumn("part", F.lit("test"))
+    )
+    return named.select("event_id", "part")
 
 
 @query(
@@ -58,7 +63,7 @@ def train_only_filter(spark, sf_dir):
 )
 def hash_sample(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id")
-    return split.hash_sample(events, ["event_id"], 0.25, salt="s1")
+    return split.hash_sample(events, ["event_id"], 0.25, salt="s1", portable=True)
 
 
 @query()
