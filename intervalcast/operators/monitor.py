@@ -35,7 +35,8 @@ def screen(messages: DataFrame, value: str = "value") -> DataFrame:
     for a usable record, otherwise why it is not.  Filter on it to split the records from
     the quarantine.
     """
-    shape = "event_time STRING, site_id STRING, building_id STRING, meter_type STRING, prediction STRING, broken STRING"
+    names = ["event_time", "site_id", "building_id", "meter_type", "prediction", "broken"]
+    shape = ", ".join(f"{name} STRING" for name in names)
     parsed = messages.withColumn(
         "_r",
         F.from_json(
@@ -88,7 +89,8 @@ def newest_lag(
     null.  Mean and maximum describe all records.
     """
     lag = seconds_between(now, F.col(event_time))
-    order = F.when(F.col(event_time).isNotNull(), F.col(arrival) if isinstance(arrival, str) else arrival)
+    arrived = F.col(arrival) if isinstance(arrival, str) else arrival
+    order = F.when(F.col(event_time).isNotNull(), arrived)
     return records.agg(
         F.max_by(lag, order).alias("lag_seconds"),
         F.avg(lag).alias("mean_lag_seconds"),
@@ -322,7 +324,8 @@ def live_series(
 
 def freshness(lag: Column) -> Column:
     """green, yellow or red by the lag in seconds."""
-    return F.when(lag >= LAG_RED, "red").when(lag >= LAG_YELLOW, "yellow").when(lag.isNotNull(), "green")
+    slow = F.when(lag >= LAG_RED, "red").when(lag >= LAG_YELLOW, "yellow")
+    return slow.when(lag.isNotNull(), "green")
 
 
 def throughput(rate: Column) -> Column:

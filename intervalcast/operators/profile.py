@@ -37,7 +37,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             ).alias(name)
         )
     moments = values.agg(*measures).first()
-    extent = {name: (moments[name]["count"], moments[name]["min"], moments[name]["max"]) for name in columns}
+    extent = {n: (moments[n]["count"], moments[n]["min"], moments[n]["max"]) for n in columns}
     quartiles = exact_quantiles(values, extent, list(QUARTILES.values()))
     rows = []
     for name in columns:

@@ -24,7 +24,8 @@ def csv_to_parquet(spark: SparkSession, path: str, schema: T.StructType, out: st
 
 def literal_table(spark: SparkSession, name: str, values: list[str]) -> DataFrame:
     """A list of categories as a one-column table."""
-    return spark.createDataFrame([(value,) for value in values], T.StructType().add(name, T.StringType()))
+    schema = T.StructType().add(name, T.StringType())
+    return spark.createDataFrame([(value,) for value in values], schema)
 
 
 def stream_parquet(
