@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def merge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name in ("grp", "slice", *KEYS):
             column = rows.column(rows.schema.get_field_index(name))
             a, b = column.slice(0, rows.num_rows - 1), column.slice(1)
-            same &= pa.compute.equal(a, b).to_numpy(zero_copy_only=False)
+            same &= pc.equal(a, b).to_numpy(zero_copy_only=False)
         first = np.concatenate([[0], np.flatnonzero(~same) + 1])
         n = rows.schema.get_field_index("n")
         sums = np.add.reduceat(rows.column(n).to_numpy(), first)
