@@ -5,20 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.scratch import materialise
 
-__all__ = ["SPACE", "SPLIT_SQL", "WORD", "appended", "crc_of", "documents", "fresh", "materialise", "text_or_empty"]
+__all__ = [
+    "SPACE",
+    "WORD",
+    "appended",
+    "crc_of",
+    "documents",
+    "fresh",
+    "kept_rows",
+    "looked_up",
+    "materialise",
+    "text_or_empty",
+    "words_of",
+]
 
 # What separates words, and what words are.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-# The rows of the learning part and the rest, by the remainder of a checksum of the id.
-SPLIT_SQL = "crc32(cast(doc_id as string))"
-
+# Bytes A-Z to a-z.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -90,3 +100,42 @@ _ARROW = {
     "array<bigint>": pa.list_(pa.int64()),
     "array<double>": pa.list_(pa.float64()),
 }
+
+
+HOT_SHARE = 1000
+
+
+def looked_up(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Inner join of rows with one row per key, where a key may own a third of all rows.
+
+    Keys with more than 1/``HOT_SHARE`` of all rows (``size`` says how many a key has) are
+    fewer than ``HOT_SHARE``: these are broadcast, the others are joined by shuffle.  Keys
+    hold no nulls.
+    """
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = groups.filter(F.col(size) * HOT_SHARE > total)
+    rest = groups.filter(F.col(size) * HOT_SHARE <= total)
+    return rows.join(F.broadcast(hot), keys).unionByName(
+        rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
+    )
+
+
+def kept_rows(docs: DataFrame, marks: dict[str, Column], winners: DataFrame) -> DataFrame:
+    """The rows whose marks are among the winners (columns named as the marks), one per mark.
+
+    Rows that share all marks are told apart by their columns, in order; the first stays.
+    The marks should differ from row to row, so that no task gets a large group.
+    """
+    names = {name: fresh(docs, f"__{name}") for name in (*marks, "place")}
+    keys = [names[name] for name in marks]
+    left = docs.withColumns({names[name]: column for name, column in marks.items()}).alias("l")
+    right = winners.select(*(F.col(name).alias(names[name]) for name in marks)).alias("r")
+    on = [F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}")) for key in keys]
+    order = [F.to_json(F.struct(c)) if _unordered(docs, c) else F.col(c) for c in docs.columns]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    met = left.join(right, on, "left_semi").withColumn(names["place"], place)
+    return met.filter(F.col(names["place"]) == 1).select(*docs.columns)
+
+
+def _unordered(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName() in {"map", "variant"}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, simhash
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(documents(spark, sf_dir))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query(r"""
     WITH d AS (
       SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))
