@@ -19,14 +19,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, fresh, materialise, text_or_empty
+from .common import SPACE, kept_rows, looked_up, materialise, text_or_empty
 
 FAN = 16  # runs merged at once
 BITS = 4  # digest bits that tell FAN slices apart
-HOT_SHARE = 1000  # a group above 1/1000 of all rows is joined by broadcast: fewer than 1000
 
 KEYS = ["digest", "check", "n_bytes"]
 
@@ -56,7 +55,8 @@ def merge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        parts = [batch] if held is None else [held.cast(batch.schema), batch]
+        table = pa.Table.from_batches(parts).combine_chunks()
         rows = table.to_batches()[0]
         same = np.ones(rows.num_rows - 1, dtype=bool)
         for name in ("grp", "slice", *KEYS):
@@ -95,7 +95,8 @@ def merged_runs(digests: DataFrame) -> DataFrame:
             break
         left = -(-left // FAN)
         level += 1
-    return materialise(rows.select(*KEYS, F.col("id").alias("keep_id"), F.col("row").alias("keep_row"), "n"), "runs")
+    kept = rows.select(*KEYS, F.col("id").alias("keep_id"), F.col("row").alias("keep_row"), "n")
+    return materialise(kept, "runs")
 
 
 def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -105,13 +106,7 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """
     digests = digest_rows(docs, id_col=id_col, text_col=text_col)
     runs = merged_runs(digests)
-    total = runs.agg(F.sum("n")).first()[0] or 0
-    hot = runs.filter(F.col("n") * HOT_SHARE > total)
-    rest = runs.filter(F.col("n") * HOT_SHARE <= total)
-    rows = digests.select(*KEYS, "id", "row")
-    found = rows.join(F.broadcast(hot), KEYS).unionByName(
-        rows.join(F.broadcast(hot.select(*KEYS)), KEYS, "left_anti").join(rest, KEYS)
-    )
+    found = looked_up(digests.select(*KEYS, "id", "row"), runs, KEYS, "n")
     return found.select(
         F.col("id").alias(id_col),
         "keep_id",
@@ -127,26 +122,12 @@ def drop_exact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     Rows that repeat both id and text are told apart by their other columns, in order.
     """
     runs = merged_runs(digest_rows(docs, id_col=id_col, text_col=text_col))
-    mark = {k: fresh(docs, f"__{k}") for k in (*KEYS, "keep_id", "place")}
-    winners = runs.select(*KEYS, "keep_id").toDF(*(mark[k] for k in (*KEYS, "keep_id")))
     norm = normalised(text_col)
-    keyed = docs.withColumns(
-        {
-            mark["digest"]: F.unhex(F.sha2(norm, 256)),
-            mark["check"]: F.xxhash64(norm),
-            mark["n_bytes"]: F.octet_length(norm).cast("bigint"),
-            mark["keep_id"]: F.col(id_col).cast("bigint"),
-        }
-    )
-    # The id is part of the join key, so a hot text is spread over tasks.
-    left, right = keyed.alias("l"), winners.alias("r")
-    keys = [mark[k] for k in (*KEYS, "keep_id")]
-    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    met = left.join(right, on, "left_semi")
-    order = [F.to_json(F.struct(F.col(c).alias("v"))) if _unordered(docs, c) else F.col(c) for c in docs.columns]
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return met.withColumn(mark["place"], place).filter(F.col(mark["place"]) == 1).select(*docs.columns)
-
-
-def _unordered(df: DataFrame, column: str) -> bool:
-    return df.schema[column].dataType.typeName() in {"map", "variant"}
+    marks = {
+        "digest": F.unhex(F.sha2(norm, 256)),
+        "check": F.xxhash64(norm),
+        "n_bytes": F.octet_length(norm).cast("bigint"),
+        "keep_id": F.col(id_col).cast("bigint"),
+    }
+    # The id is among the marks, so a hot text is spread over tasks.
+    return kept_rows(docs, marks, runs)
