@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, simhash
+from . import bpe, exact_dedup, mixing, simhash
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,63 @@ def query(sql: str | None = None):
     return register
 
 
+@query(rf"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id AS id, coalesce(source, '') AS source,
+             ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS mark,
+             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens
+      FROM documents),
+    u AS (SELECT source, id, mark, n_tokens, count(*) AS n_rows FROM d GROUP BY ALL),
+    s AS (SELECT source, sum(n_tokens * n_rows)::BIGINT AS tokens, sum(n_rows)::BIGINT AS n_docs
+          FROM u GROUP BY 1),
+    l AS (SELECT list(tokens / t) AS shares FROM s, (SELECT sum(tokens) AS t FROM s)
+          WHERE tokens > 0),
+    b AS (
+      SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+      UNION ALL
+      SELECT step + 1, CASE WHEN met THEN low ELSE mid END, CASE WHEN met THEN mid ELSE high END
+      FROM (SELECT step, low, high, (low + high) / 2 AS mid,
+                   (list_min(shares) / list_max(shares)) ** ((low + high) / 2 - 1) <= 2.0 AS met
+            FROM b, l WHERE step < 36)),
+    a AS (SELECT CASE WHEN list_max(shares) / list_min(shares) <= 2.0 THEN 0.0
+                      ELSE round(high, 6) END AS alpha
+          FROM b, l WHERE step = 36),
+    p AS (SELECT s.*, CASE WHEN tokens > 0 THEN pow(tokens / sum(tokens) OVER (), alpha)
+                           ELSE 0.0 END AS p FROM s, a),
+    w AS (SELECT *, p / sum(p) OVER () AS weight,
+                 round(p * max(CASE WHEN p > 0 THEN tokens / p END) OVER ())::BIGINT AS quota
+          FROM p),
+    k AS (
+      SELECT u.*, ('0x' || substr(md5(concat_ws('|', 'mix', id, mark)), 1, 8))::BIGINT AS h,
+             ceil(n_docs / {mixing.BLOCK})::BIGINT AS n_blocks
+      FROM u JOIN w USING (source)),
+    i AS (
+      SELECT *, coalesce(sum(n_tokens * n_rows) OVER (
+                  PARTITION BY source, block ORDER BY h, id, mark
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS inside
+      FROM (SELECT *, (h * n_blocks) >> 32 AS block FROM k)),
+    t AS (
+      SELECT *, ('0x' || substr(md5(concat_ws('|', 'mix', epoch, source, block)), 1, 8))::BIGINT
+                AS turn
+      FROM (SELECT source, block, sum(n_tokens * n_rows)::BIGINT AS size FROM i GROUP BY ALL)
+      JOIN (SELECT *, unnest(range(greatest(ceil(quota / greatest(tokens, 1)), 1)::BIGINT))
+                      AS epoch FROM w) USING (source)),
+    o AS (
+      SELECT *, epoch * tokens + coalesce(sum(size) OVER (
+                  PARTITION BY source, epoch ORDER BY turn, block
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS block_start
+      FROM t)
+    SELECT id AS doc_id, source, round(weight, 9) AS weight, quota, epoch::INTEGER AS epoch,
+           block, n_tokens, n_rows, block_start + inside AS start,
+           round((block_start + inside) / greatest(quota, 1), 9) AS mix_at
+    FROM i JOIN o USING (source, block)
+    WHERE block_start + inside < quota OR epoch = 0
+""")
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = mixing.Target(max_repeat=2.0)
+    return mixing.mixture(documents(spark, sf_dir), target).drop("mark")
+
+
 @query()
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
