@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, simhash
+from . import bpe, exact_dedup, mixing, quality, simhash
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,20 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+@query()
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    rules = quality.fit(docs, documents(spark, sf_dir, "labels"))
+    return quality.judged(docs, rules).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "rule",
+    )
