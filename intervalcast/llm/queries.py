@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, quality, simhash
-from .common import documents
+from . import bpe, exact_dedup, mixing, quality, simhash, toxicity
+from .common import crc_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,6 +119,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    net = toxicity.fit(docs, documents(spark, sf_dir, "labels"))
+    held_out = crc_of() % toxicity.HELD_OUT == 0
+    scored = toxicity.scored(docs, net)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query()
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
