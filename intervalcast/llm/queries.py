@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, quality, simhash, toxicity
+from . import bpe, exact_dedup, mixing, pii, quality, simhash, toxicity
 from .common import crc_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,21 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query()
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.all_spans(documents(spark, sf_dir))
+    counts = [
+        pii.count_of("spans", k).alias(f"n_{kind.name}") for k, kind in enumerate(pii.KINDS)
+    ]
+    together = F.array_sort(F.concat("spans", "terms"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(pii.labelled(F.col("spans")), 256).alias("base_sha256"),
+        pii.labelled(together).alias("spans"),
+    )
+
+
 @query(r"""
     WITH d AS (
       SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'))
