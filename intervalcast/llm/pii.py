@@ -59,18 +59,16 @@ def _small_parts(match: Column) -> Column:
 
 
 def _luhn(match: Column) -> Column:
-    def passes(digits: Column) -> Column:
-        n = F.length(digits)
+    digits = _digits(match)
+    n = F.length(digits)
 
-        def add(total: Column, i: Column) -> Column:
-            digit = F.substr(digits, n - i, F.lit(1)).cast("int")
-            twice = digit * 2 - F.when(digit > 4, 9).otherwise(0)
-            return total + F.when(i % 2 == 1, twice).otherwise(digit)
+    def add(total: Column, i: Column) -> Column:
+        digit = F.substr(digits, n - i, F.lit(1)).cast("int")
+        twice = digit * 2 - F.when(digit > 4, 9).otherwise(0)
+        return total + F.when(i % 2 == 1, twice).otherwise(digit)
 
-        total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add)
-        return F.when(n.between(14, 19), total % 10 == 0).otherwise(False)
-
-    return let(_digits(match), passes)
+    total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add)
+    return F.when(n.between(14, 19), total % 10 == 0).otherwise(False)
 
 
 def _ten_to_fifteen(match: Column) -> Column:
@@ -93,7 +91,8 @@ KINDS = [
     ),
     Kind(
         "card",
-        r"[0-9][0-9\x20-]*?(?=[\x20-]?+(?![0-9\x20-])|[\x20-]{2})",
+        # Fourteen digits lie ahead: no shorter run passes, nor does the end of one.
+        r"(?=[0-9](?:[\x20-]?[0-9]){13})[0-9][0-9\x20-]*?(?=[\x20-]?+(?![0-9\x20-])|[\x20-]{2})",
         r"[0-9](?:[\x20-]?[0-9]){13}",
         _luhn,
     ),
@@ -102,62 +101,27 @@ KINDS = [
 SPAN = "array<struct<start:int,k:int,end:int,value:string>>"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """The body with the value computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), body), 0)
-
+def spans_of(text: Column, pattern: Column, k: int) -> Column:
+    """Spans (start, k, end, value) of all matches; offsets in characters, end exclusive.
 
-def _folded(part: Column) -> Column:
-    """Sums of the elements before each one, and of all."""
-    empty = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("sums"))
+    The pieces between matches and the matches themselves, in turn, give the offsets.  The
+    last piece has no match behind it.
+    """
+    pairs = F.arrays_zip(
+        F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, 0).alias("value")
+    )
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
 
     def step(held: Column, x: Column) -> Column:
-        sums = F.concat(held["sums"], F.array(held["total"]))
-        return F.struct((held["total"] + x).alias("total"), sums.alias("sums"))
-
-    return F.aggregate(part, empty, step)
-
-
-def running(sizes: Column) -> Column:
-    """Sums of the elements before each one; pieces of root length keep long arrays cheap."""
-
-    def cut(sizes: Column, width: Column) -> Column:
-        places = F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / width).cast("int"))
-        return F.transform(places, lambda c: _folded(F.slice(sizes, c * width + 1, width)))
-
-    def joined(parts: Column) -> Column:
-        before = _folded(F.transform(parts, lambda p: p["total"]))["sums"]
-        both = F.arrays_zip(parts.alias("p"), before.alias("b"))
-        return F.flatten(F.transform(both, lambda x: F.transform(x["p"]["sums"], lambda s: s + x["b"])))
-
-    def of(sizes: Column) -> Column:
-        width = F.ceil(F.sqrt(F.size(sizes))).cast("int")
-        some = let(width, lambda width: let(cut(sizes, width), joined))
-        return F.when(F.size(sizes) > 0, some).otherwise(F.array().cast("array<int>"))
-
-    return let(sizes, of)
-
-
-def spans_of(text: Column, pattern: Column, k: int) -> Column:
-    """Spans (start, k, end, value) of all matches; offsets in characters, end exclusive."""
-
-    def span(x: Column) -> Column:
-        start = x["at"] + F.length(x["x"]["g"])
-        end = start + F.length(x["x"]["v"])
-        return F.struct(
-            start.alias("start"), F.lit(k).alias("k"), end.alias("end"), x["x"]["v"].alias("value")
+        start = held["at"] + F.length(x["gap"])
+        end = start + F.coalesce(F.length(x["value"]), F.lit(0))
+        span = F.struct(
+            start.alias("start"), F.lit(k).alias("k"), end.alias("end"), x["value"].alias("value")
         )
+        return F.struct(end.alias("at"), F.concat(held["found"], F.array(span)).alias("found"))
 
-    def placed(pairs: Column) -> Column:
-        ends = running(F.transform(pairs, lambda x: F.length(x["g"]) + F.length(x["v"])))
-        return F.transform(F.arrays_zip(ends.alias("at"), pairs.alias("x")), span)
-
-    def paired(values: Column) -> Column:
-        # Before match i lie the gaps 0..i and the matches 0..i-1.
-        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(values))
-        return let(F.arrays_zip(gaps.alias("g"), values.alias("v")), placed)
-
-    return let(F.regexp_extract_all(text, pattern, 0), paired)
+    spans = F.aggregate(pairs, begin, step, lambda held: held["found"])
+    return F.filter(spans, lambda s: s["value"].isNotNull())
 
 
 def base_spans(text: Column) -> Column:
