@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, pii, quality, simhash, toxicity
+from . import bpe, exact_dedup, lm, mixing, pii, quality, simhash, toxicity
 from .common import crc_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(documents(spark, sf_dir))
+
+
 @query()
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(documents(spark, sf_dir))
