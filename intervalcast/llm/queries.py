@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lm, mixing, pii, quality, simhash, toxicity
+from . import bpe, exact_dedup, lm, mixing, pii, quality, repeats, simhash, toxicity
 from .common import crc_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,6 +139,18 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.without_repeats(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id",
+        (F.octet_length("kept") + F.col("n_removed")).alias("n_bytes"),
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query()
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
