@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lm, mixing, pii, quality, repeats, simhash, toxicity
-from .common import crc_of, documents
+from . import bpe, edit_counts, exact_dedup, lm, mixing, pii, quality, repeats, simhash, toxicity
+from .common import crc_of, documents, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,6 +151,13 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    edited = docs.withColumn("edits", edit_counts.cleaning_edits(text_or_empty()))
+    return edit_counts.recounted(edited).drop("text", "edits")
+
+
 @query()
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")

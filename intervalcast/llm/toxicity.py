@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import appended, crc_of, words_of
+from .common import appended, crc_of, fresh, words_of
 
 SAMPLE = 1500  # labelled texts of each kind, at most
 LONGEST = 100_000  # characters of a text in the sample, at most
@@ -330,10 +330,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return train([r.text for r in rows], toxic)
 
 
-def scored(docs: DataFrame, net: Network | None, *, text_col: str = "text") -> DataFrame:
-    """The rows with ``score`` and ``predicted`` (1 from 0.5)."""
+def scored(
+    docs: DataFrame,
+    net: Network | None,
+    *,
+    text_col: str = "text",
+    score: str = "score",
+    predicted: str = "predicted",
+) -> DataFrame:
+    """The rows with a score and a prediction (1 from 0.5), under the given names."""
     if net is None:
-        rows = docs.withColumn("score", F.lit(0.0))
+        rows = docs.withColumn(score, F.lit(0.0))
     else:
         sent = docs.sparkSession.sparkContext.broadcast((net.vocabulary, net.weights))
         held: dict[str, Network] = {}
@@ -343,5 +350,12 @@ def scored(docs: DataFrame, net: Network | None, *, text_col: str = "text") -> D
                 held["net"] = Network(*sent.value)
             return [held["net"].score(texts)]
 
-        rows = appended(docs, [T.StructField("score", T.DoubleType())], text_col, compute)
-    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        rows = appended(docs, [T.StructField(score, T.DoubleType())], text_col, compute)
+    return rows.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, net: Network | None, *, text_col: str = "text") -> DataFrame:
+    """The documents, all columns, that are not predicted toxic."""
+    names = {"score": fresh(docs, "__score"), "predicted": fresh(docs, "__predicted")}
+    rows = scored(docs, net, text_col=text_col, **names)
+    return rows.filter(F.col(names["predicted"]) == 0).select(*docs.columns)
