@@ -1,7 +1,7 @@
 """Column expressions: no DataFrame, no Python UDF, nothing learned from data."""
 
 from .encodings import cyclic, decade, log_size
-from .sampling import hash_bucket
+from .sampling import hash_bucket, in_fraction
 from .time import (
     calendar_parts,
     interval_index,
@@ -29,6 +29,7 @@ __all__ = [
     "cyclic",
     "decade",
     "hash_bucket",
+    "in_fraction",
     "interval_index",
     "interval_label",
     "interval_labels",

@@ -102,9 +102,9 @@ def grid(estimator, values: Mapping[str, Sequence]) -> list:
     return builder.build()
 
 
-def with_folds(train: DataFrame, keys: Sequence[str], folds: int) -> DataFrame:
-    """Adds the fold a row is held out in, by key hash: the same in every run."""
-    return train.withColumn(FOLD, hash_bucket(keys, folds, salt="fold"))
+def with_folds(train: DataFrame, keys: Sequence[str], folds: int, seed: int = 2025) -> DataFrame:
+    """Adds the fold a row is held out in, by key hash and seed: the same in every run."""
+    return train.withColumn(FOLD, hash_bucket(keys, folds, salt=f"fold{seed}"))
 
 
 def cross_validate(
@@ -116,6 +116,7 @@ def cross_validate(
     *,
     keys: Sequence[str],
     folds: int = 3,
+    seed: int = 2025,
     parallelism: int = 2,
 ) -> CrossValidatorModel:
     """k-fold search for the smallest RMSE with Spark's validator, for any estimator.
@@ -131,7 +132,7 @@ def cross_validate(
         parallelism=parallelism,
         foldCol=FOLD,
     )
-    return validator.fit(with_folds(train, keys, folds))
+    return validator.fit(with_folds(train, keys, folds, seed))
 
 
 @dataclass(frozen=True)
@@ -177,7 +178,7 @@ def tune_boosting(
     points = [c | {"maxIter": n} for c in combinations for n in lengths]
     rmse: list[list[float]] = [[] for _ in points]
 
-    folded = with_folds(train, keys, folds)
+    folded = with_folds(train, keys, folds, seed)
     for fold in range(folds):
         held_out = folded.filter(F.col(FOLD) == fold)
         with prepared(folded.filter(F.col(FOLD) != fold), spec, label) as (stages, rows):
@@ -188,9 +189,12 @@ def tune_boosting(
                 squared = longest.fit(rows).evaluateEachIteration(check, "squared")
                 return [sqrt(squared[n - 1]) for n in lengths]
 
-            with ThreadPool(parallelism) as pool:
-                found = pool.map(inheritable_thread_target(train.sparkSession)(errors), combinations)
-            check.unpersist()
+            try:
+                with ThreadPool(parallelism) as pool:
+                    task = inheritable_thread_target(train.sparkSession)(errors)
+                    found = pool.map(task, combinations)
+            finally:
+                check.unpersist()
         for number, value in enumerate(chain.from_iterable(found)):
             rmse[number].append(value)
 

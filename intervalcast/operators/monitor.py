@@ -49,7 +49,7 @@ def screen(messages: DataFrame, value: str = "value") -> DataFrame:
     reason = (
         F.when(F.col("_r").isNull() | F.col("_r.broken").isNotNull(), "malformed")
         .when(F.col("_r.prediction").isNull(), "missing prediction")
-        .when(prediction.isNull(), "prediction is not a number")
+        .when(prediction.isNull() | F.isnan(prediction), "prediction is not a number")
     )
     return parsed.withColumns(
         {

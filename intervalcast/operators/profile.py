@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import decade
-from .quantiles import exact_quantiles, numbers
+from ..functions import decade, nan_to_null
+from .quantiles import ACCURACY, around, exact_quantiles, numbers
+from .quantiles import clamped as values_of
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -21,24 +22,34 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles, one row per column.
 
-    The table is scanned once for the moments and a few times for the quartiles; what
-    reaches the driver is one row per column and the quartiles' buckets.
+    The table is scanned once for the moments and a sketch, once to count around the
+    sketch's quartiles, and then only as often as many rows are left there; what reaches the
+    driver is one row per column and the quartiles' buckets.  NaN is missing; infinities are
+    numbers, and deviations from an infinite mean are not.
     """
     values = numbers(df, columns)
+    probabilities = list(QUARTILES.values())
     measures = []
     for name in columns:
+        number = nan_to_null(F.col(name).cast("double"))
+        clamped = values_of(name)
+        cuts = F.percentile_approx(clamped, around(probabilities), ACCURACY)
         measures.append(
             F.struct(
-                F.count(name).alias("count"),
-                F.avg(name).alias("mean"),
-                F.stddev_samp(name).alias("stddev"),
-                F.min(name).alias("min"),
-                F.max(name).alias("max"),
+                F.count(number).alias("count"),
+                F.avg(number).alias("mean"),
+                F.stddev_samp(number).alias("stddev"),
+                F.min(number).alias("min"),
+                F.max(number).alias("max"),
+                F.min(clamped).alias("least"),
+                F.max(clamped).alias("most"),
+                cuts.alias("cuts"),
             ).alias(name)
         )
-    moments = values.agg(*measures).first()
-    extent = {n: (moments[n]["count"], moments[n]["min"], moments[n]["max"]) for n in columns}
-    quartiles = exact_quantiles(values, extent, list(QUARTILES.values()))
+    moments = df.agg(*measures).first()
+    extent = {n: (moments[n]["count"], moments[n]["least"], moments[n]["most"]) for n in columns}
+    brackets = {n: moments[n]["cuts"] for n in columns}
+    quartiles = exact_quantiles(values, extent, probabilities, brackets)
     rows = []
     for name in columns:
         m = moments[name]

@@ -9,6 +9,7 @@ the rows is one count.  A pass divides the range by ``BUCKETS``, so a handful is
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -21,20 +22,26 @@ from ..functions import nan_to_null
 BUCKETS = 4096
 # A range with at most this many rows is listed, not narrowed further.
 FEW = 10_000
+# One part in this many is how far a sketch may err in rank.
+ACCURACY = 10_000
 _LARGEST = sys.float_info.max
 
 
 def numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns as doubles; NaN is missing, infinities are the largest numbers."""
-    return df.select(*[_clamped(name).alias(name) for name in columns])
+    return df.select(*[clamped(name).alias(name) for name in columns])
 
 
-def _clamped(name: str) -> Column:
+def clamped(name: str) -> Column:
     value = nan_to_null(F.col(name).cast("double"))
     inside = F.greatest(F.least(value, F.lit(_LARGEST)), F.lit(-_LARGEST))
     return F.when(value.isNotNull(), inside)
 
 
+def _unclamped(value: float) -> float:
+    return value if abs(value) < _LARGEST else math.copysign(math.inf, value)
+
+
 @dataclass
 class _Target:
     """One wanted rank of one column, and the value range known to hold it."""
@@ -79,7 +86,10 @@ def _narrow(values: DataFrame, targets: list[_Target]) -> None:
     # Halves keep the width of a range finite.
     start = F.get(F.array(*[F.lit(lo / 2) for _, lo, _ in ranges]), F.col("range"))
     width = F.get(F.array(*[F.lit(hi / 2 - lo / 2) for _, lo, hi in ranges]), F.col("range"))
-    share = (F.col("value") / 2 - start) / width
+    # Neighbouring numbers may be half a width of 0 apart: their lower one is told off.
+    share = F.when(width > 0, (F.col("value") / 2 - start) / width).otherwise(
+        (F.col("value") / 2 > start).cast("double")
+    )
     bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1).cast("bigint"))
     counted = (
         _in_ranges(values, ranges)
@@ -125,15 +135,40 @@ def _pick(values: DataFrame, targets: list[_Target]) -> None:
         target.lo = target.hi = value
 
 
+def around(probabilities: Sequence[float]) -> list[float]:
+    """A little below and above each probability, by more than a sketch of ACCURACY errs."""
+    margin = 3 / ACCURACY
+    return [q for p in probabilities for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
+
+
+def _bracketed(values: DataFrame, targets: dict, brackets: dict[str, list[float]]) -> None:
+    """One pass: ranges that a sketch gave are taken where they hold the wanted rank."""
+    ranges = sorted({(column, *brackets[column][2 * i : 2 * i + 2]) for column, i in targets})
+    counts = []
+    for number, (column, lo, hi) in enumerate(ranges):
+        counts.append(F.count_if(F.col(column) < lo).alias(f"below{number}"))
+        counts.append(F.count_if(F.col(column).between(lo, hi)).alias(f"inside{number}"))
+    row = values.agg(*counts).first()
+    for (column, i), wanted in targets.items():
+        lo, hi = brackets[column][2 * i : 2 * i + 2]
+        number = ranges.index((column, lo, hi))
+        below, inside = row[f"below{number}"], row[f"inside{number}"]
+        for target in wanted:
+            if below <= target.rank < below + inside:
+                target.lo, target.hi, target.below, target.rows = lo, hi, below, inside
+
+
 def exact_quantiles(
     values: DataFrame,
     extent: dict[str, tuple[int, float, float]],
     probabilities: Sequence[float],
+    brackets: dict[str, list[float]] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column of a ``numbers`` frame.
 
-    ``extent`` holds count, minimum and maximum of each column.  Every pass reads
-    ``values`` again: hand over a table, not the end of a costly plan.
+    ``extent`` holds count, minimum and maximum of each column, ``brackets`` its values at
+    ``around(probabilities)`` as a sketch has them.  Every pass reads ``values`` again: hand
+    over a table, not the end of a costly plan.
     """
     wanted: dict[tuple[str, int], _Target] = {}
     for column, (count, lo, hi) in extent.items():
@@ -141,6 +176,14 @@ def exact_quantiles(
             first = int(p * (count - 1))
             for rank in {first, min(first + 1, count - 1)}:
                 wanted[column, rank] = _Target(column, rank, count, lo, hi)
+    if brackets and wanted:
+        near: dict[tuple[str, int], list[_Target]] = {}
+        for column, (count, _, _) in extent.items():
+            for i, p in enumerate(probabilities if count else ()):
+                first = int(p * (count - 1))
+                ranks = {first, min(first + 1, count - 1)}
+                near[column, i] = [wanted[column, rank] for rank in ranks]
+        _bracketed(values, near, brackets)
 
     def still_open() -> list[_Target]:
         return [target for target in wanted.values() if target.open]
@@ -161,5 +204,7 @@ def exact_quantiles(
             first = int(place)
             low = wanted[column, first].lo
             high = wanted[column, min(first + 1, count - 1)].lo
-            result[column].append(low + (place - first) * (high - low))
+            low, high = map(_unclamped, (low, high))
+            part = place - first
+            result[column].append(low if part == 0 or low == high else low + part * (high - low))
     return result

@@ -12,12 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import hash_bucket
-from .outliers import bounds_filter, sigma_bounds
-
-# A fraction is resolved to one part in this many.
-STEPS = 10_000
-
+from ..functions import in_fraction
+from .outliers import sigma_bounds
 
 def random_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     """Bernoulli sample without replacement; the whole table for 1.0 and above."""
@@ -35,9 +31,7 @@ def hash_sample(
     portable: bool = False,
 ) -> DataFrame:
     """Rows whose key hash falls in the first ``fraction`` of the hash range."""
-    if fraction >= 1.0:
-        return df
-    return df.filter(hash_bucket(keys, STEPS, salt=salt, portable=portable) < round(fraction * STEPS))
+    return df.filter(in_fraction(keys, fraction, salt=salt, portable=portable))
 
 
 def random_split(df: DataFrame, ratio: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -46,23 +40,41 @@ def random_split(df: DataFrame, ratio: float, seed: int) -> tuple[DataFrame, Dat
 
 
 def split_label(
-    df: DataFrame, keys: Sequence[str], ratio: float = 0.8, *, portable: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    ratio: float = 0.8,
+    *,
+    salt: str = "",
+    portable: bool = False,
 ) -> DataFrame:
-    """Adds ``part``: ``train`` or ``test``, decided by the key hash in percent."""
-    in_train = hash_bucket(keys, portable=portable) < round(ratio * 100)
+    """Adds ``part``: ``train`` for the first ``ratio`` of the key hash, else ``test``."""
+    in_train = in_fraction(keys, ratio, salt=salt, portable=portable)
     return df.withColumn("part", F.when(in_train, F.lit("train")).otherwise(F.lit("test")))
 
 
 def hash_split(
-    df: DataFrame, keys: Sequence[str], ratio: float = 0.8, *, portable: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    ratio: float = 0.8,
+    *,
+    salt: str = "",
+    portable: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) by key hash."""
-    in_train = hash_bucket(keys, portable=portable) < round(ratio * 100)
+    in_train = in_fraction(keys, ratio, salt=salt, portable=portable)
     return df.filter(in_train), df.filter(~in_train)
 
 
-def train_only_filter(
-    train: DataFrame, test: DataFrame, label: str, sigma: float = 3.0
-) -> tuple[DataFrame, DataFrame]:
-    """Outlier bounds fitted on the training rows and applied to them alone."""
-    return bounds_filter(train, label, sigma_bounds(train, label, sigma)), test
+def train_only_filter(labelled: DataFrame, label: str, sigma: float = 3.0) -> DataFrame:
+    """Rows of ``split_label`` without the training outliers; test rows all stay.
+
+    The bounds are fitted on the training rows.  They are one row, so they are broadcast,
+    and the table is read twice: for the bounds and for the rows.
+    """
+    bounds = sigma_bounds(labelled.filter(F.col("part") == "train"), label, sigma)
+    undefined = F.col("lo").isNull() | F.col("hi").isNull()
+    inside = F.col(label).between(F.col("lo"), F.col("hi"))
+    kept = labelled.crossJoin(F.broadcast(bounds)).filter(
+        (F.col("part") == "test") | undefined | inside
+    )
+    return kept.drop("lo", "hi")

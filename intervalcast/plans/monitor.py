@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,6 +10,9 @@ from ..operators.monitor import merge_snapshots, screen, snapshot
 from ..sources.sinks import paced
 
 
+KEPT = 8  # versions of the metrics
+
+
 def usable(screened: DataFrame) -> DataFrame:
     return screened.filter(F.col("reject").isNull()).drop("reject")
 
@@ -25,25 +28,27 @@ def start_snapshots(
     metrics: str,
     checkpoint: str,
     every: str | None = None,
+    now: Column | None = None,
 ) -> StreamingQuery:
     """Keep the metrics of everything received so far, one version per batch.
 
     A version is the one before it merged with the batch's own metrics, so the work grows
-    with the batch, not with the past.  Versions and rejects are written under the batch
-    number: a repeated batch replaces its own.  Within a batch the arrival order is the
-    order in which the source delivers the rows.
+    with the batch, not with the past.  Rejects are written under the batch number, the last
+    KEPT versions under the batch number's remainder: a repeated batch replaces its own.
+    Gauges take the record with the largest ``arrival``, as ``Bus.subscribe`` gives it;
+    messages must have that column.  ``now`` is what lags are measured against.
     """
 
     def fold(batch: DataFrame, number: int) -> None:
-        numbered = batch.withColumn("arrival", F.monotonically_increasing_id())
-        screened = screen(numbered).persist()
+        screened = screen(batch).persist()
         try:
             rejected(screened).write.mode("overwrite").parquet(version(quarantine, number))
-            current = snapshot(usable(screened))
+            current = snapshot(usable(screened), now=now)
             if number > 0:
-                before = batch.sparkSession.read.parquet(version(metrics, number - 1))
-                current = merge_snapshots(before, current)
-            current.coalesce(1).write.mode("overwrite").parquet(version(metrics, number))
+                before = batch.sparkSession.read.parquet(version(metrics, (number - 1) % KEPT))
+                current = merge_snapshots(before.drop("version"), current)
+            numbered = current.withColumn("version", F.lit(number).cast("bigint"))
+            numbered.write.mode("overwrite").parquet(version(metrics, number % KEPT))
         finally:
             screened.unpersist()
 
@@ -58,7 +63,7 @@ def version(path: str, number: int) -> str:
 def latest_version(spark: SparkSession, metrics: str, number: int | None = None) -> DataFrame:
     """The newest metrics table; with the batch ``number`` known, without looking for it."""
     if number is not None:
-        return spark.read.parquet(version(metrics, number))
-    versions = spark.read.parquet(metrics)
-    newest = versions.agg(F.max("batch")).first()[0]
-    return versions.filter(F.col("batch") == newest).drop("batch")
+        return spark.read.parquet(version(metrics, number % KEPT)).drop("version")
+    versions = spark.read.parquet(metrics).drop("batch")
+    newest = versions.agg(F.max("version")).first()[0]
+    return versions.filter(F.col("version") == newest).drop("version")

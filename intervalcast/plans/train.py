@@ -30,17 +30,25 @@ class Training:
 
 
 def prepare(
-    frame: DataFrame, model: ModelSettings, keys: Sequence[str] = domain.GRAIN
+    frame: DataFrame,
+    model: ModelSettings,
+    keys: Sequence[str] = domain.GRAIN,
+    *,
+    portable: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test) from the frame.
 
-    Sample and split follow the rows' keys, so they are the same in every run.  Outlier
+    Sample and split follow the rows' keys and the seed, so they are the same in every run.  Outlier
     bounds are fitted on the training rows and applied to those only.  The parts are
     written out first, in a folder each: tens of fits read them, and none should repeat the
     resampling, the joins and the split.
     """
-    sampled = hash_sample(frame, keys, model.sample_fraction, salt=f"sample{model.seed}")
-    labelled = split_label(sampled, keys, model.train_ratio)
+    sampled = hash_sample(
+        frame, keys, model.sample_fraction, salt=f"sample{model.seed}", portable=portable
+    )
+    labelled = split_label(
+        sampled, keys, model.train_ratio, salt=f"split{model.seed}", portable=portable
+    )
     stored = materialise(labelled, "frame", partition_by=["part"])
     train, test = (stored.filter(F.col("part") == part).drop("part") for part in ("train", "test"))
     lo, hi = bounds_on_driver(sigma_bounds(train, model.label_col, model.outlier_sigma))

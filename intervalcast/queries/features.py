@@ -166,10 +166,15 @@ SPEC = FeatureSpec(
 )
 
 
+def model_features(rows):
+    """What the models of the test tables need, for training, tables and streams alike."""
+    sized = rows.withColumn("log_area", log_size(F.col("area")))
+    return add_interval_features(sized, "interval_start")
+
+
 def model_frame(spark, sf_dir):
-    """The training frame, unrounded, with what the models of the test tables need."""
-    rows = frame(spark, sf_dir).withColumn("log_area", log_size(F.col("area")))
-    return add_interval_features(rows, "interval_start")
+    """The training frame, unrounded, with the models' features."""
+    return model_features(frame(spark, sf_dir))
 
 
 @query(

@@ -208,6 +208,7 @@ def faulty_messages(spark, sf_dir):
     )
 
 
+NOW = "2030-01-01 00:00:00"
 SCREENED_SQL = """
   SELECT event_id, ts, value, event_id % 10 AS k,
          CASE event_id % 10 WHEN 7 THEN 'malformed' WHEN 3 THEN 'prediction is not a number'
@@ -239,6 +240,12 @@ def quarantine(spark, sf_dir):
         SELECT '{monitor.PROCESSED}' AS metric, '' AS labels, CAST(count(*) AS DOUBLE) AS value FROM r
         UNION ALL SELECT '{monitor.DISTRIBUTION}_count', '', count(value) FROM r
         UNION ALL SELECT '{monitor.DISTRIBUTION}_sum', '', round(sum(value), 4) FROM r
+        UNION ALL SELECT '{monitor.LATEST}',
+                         'meter_type="' || meter_type || '",site_id="unknown"',
+                         round(arg_max(value, event_id), 4) FROM r GROUP BY meter_type
+        UNION ALL SELECT '{monitor.LAG}', '',
+                         round((epoch_us(TIMESTAMP '{NOW}') - epoch_us(arg_max(ts, event_id))) / 1e6, 4)
+                  FROM r
         """
     + "".join(
         f"""UNION ALL SELECT '{monitor.DISTRIBUTION}_bucket', 'le="{le}"',
@@ -247,21 +254,21 @@ def quarantine(spark, sf_dir):
     )
 )
 def stream_metrics(spark, sf_dir):
-    """Counters kept up to date over a topic with faulty records.
+    """All metric families over a topic with faulty records, sent in the order of their ids.
 
-    The gauges depend on the moment and are left out here.
+    Lags are measured against a fixed time.
     """
     folder = new_folder(spark, "metrics")
     bus = Bus("files", folder)
-    bus.send(faulty_messages(spark, sf_dir), "predictions-stream")
+    ordered = faulty_messages(spark, sf_dir).orderBy(F.col("key").cast("bigint"))
+    bus.send(ordered, "predictions-stream")
     finish(
         start_snapshots(
-            bus.subscribe(spark, "predictions-stream"),
+            bus.subscribe(spark, "predictions-stream", arrival=True),
+            now=F.lit(NOW).cast("timestamp"),
             quarantine=f"{folder}/quarantine",
             metrics=f"{folder}/metrics",
             checkpoint=f"{folder}/checkpoint",
         )
     )
-    gauges = [monitor.LATEST, monitor.LAG]
-    counters = latest_version(spark, f"{folder}/metrics").filter(~F.col("metric").isin(gauges))
-    return rounded(counters, value=4)
+    return rounded(latest_version(spark, f"{folder}/metrics"), value=4)

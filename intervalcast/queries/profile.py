@@ -47,6 +47,24 @@ def numeric_summary(spark, sf_dir):
     return rounded(summary, mean=6, stddev=6, p25=6, p50=6, p75=6)
 
 
+@query(
+    """SELECT 'l_quantity' AS column_name, count(q) AS count, CAST('inf' AS DOUBLE) AS mean,
+              min(q) AS min, round(quantile_cont(q, 0.25), 6) AS p25,
+              round(quantile_cont(q, 0.5), 6) AS p50, round(quantile_cont(q, 0.75), 6) AS p75,
+              max(q) AS max
+       FROM (SELECT CASE WHEN l_linenumber = 7 THEN CAST('inf' AS DOUBLE)
+                         ELSE CAST(l_quantity AS DOUBLE) END AS q FROM lineitem)"""
+)
+def numeric_summary_infinite(spark, sf_dir):
+    """Some values are infinite: so are mean and maximum, the quartiles are not."""
+    infinite = F.when(F.col("l_linenumber") == 7, F.lit(float("inf")))
+    lines = table(spark, sf_dir, "lineitem").select(
+        infinite.otherwise(F.col("l_quantity").cast("double")).alias("l_quantity")
+    )
+    summary = profile.numeric_summary(lines, ["l_quantity"]).drop("stddev")
+    return rounded(summary, p25=6, p50=6, p75=6)
+
+
 @query("SELECT event_type, count(*) AS count FROM events GROUP BY 1")
 def value_counts(spark, sf_dir):
     return profile.value_counts(table(spark, sf_dir, "events"), "event_type")
@@ -167,7 +185,12 @@ def season_counts(spark, sf_dir):
     return profile.value_counts(season_label(spark, sf_dir), "season")
 
 
-@query()
+@query(
+    "SELECT least(count(*), 20) AS rows, least(count(*), 20) AS in_table FROM events"
+)
 def preview(spark, sf_dir):
-    """Any twenty rows; which ones is left open."""
-    return profile.preview(table(spark, sf_dir, "events"), 20)
+    """Any twenty rows; which ones is left open, so they are counted and looked up."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    shown = profile.preview(events, 20)
+    met = attach(shown, events.distinct(), ["event_id", "ts", "user_id"], matched="is_there")
+    return met.agg(F.count("*").alias("rows"), F.count_if("is_there").alias("in_table"))

@@ -62,6 +62,7 @@ PREDICTION = table(
 
 # A bus record as it is stored and sent: key and value are text once decoded.
 BUS_RECORD = table(key=STRING, value=STRING)
+STORED_RECORD = table(key=STRING, value=STRING, sent_at=TIME, sent_no=T.LongType())
 
 WINDOW = table(start=TIME, end=TIME)
 HOURLY_TOTAL = table(window=WINDOW, building_id=INT, total_energy=DOUBLE)

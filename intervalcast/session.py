@@ -8,12 +8,15 @@ from .settings import Settings
 
 # Applied only where the launcher has set nothing.
 PROFILE = {
-    # AQE picks the reduce-side parallelism, splits hot partitions of joins and turns a
+    # AQE merges small reduce partitions, splits hot partitions of joins and turns a
     # shuffle join into a broadcast one when a side proves small at run time.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # AQE merges partitions and never adds any, so shuffles of batch jobs start from many.
+    # Stateful streams keep spark.sql.shuffle.partitions, fixed by their first checkpoint.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     # Window totals keep one state row per open (window, key): off heap, and only the
     # changes of a batch are uploaded.
     "spark.sql.streaming.stateStore.providerClass": (

@@ -1,8 +1,8 @@
 """Message buses: records with a text key and a text value.
 
 ``Bus("kafka", ...)`` needs the Kafka connector on the class path.  ``Bus("files", ...)``
-keeps each topic as a folder of Parquet files with the same two columns, for systems
-without a broker and for replays.  Both deliver at least once: a writer that is restarted
+keeps each topic as a folder of Parquet files with the same two columns and the time and
+number of sending, for systems without a broker and for replays.  Both deliver at least once: a writer that is restarted
 in the middle of a batch may send it again.
 """
 
@@ -12,12 +12,12 @@ import uuid
 from dataclasses import dataclass
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import row_json
-from ..schemas import BUS_RECORD
+from ..schemas import BUS_RECORD, STORED_RECORD
 
 
 @dataclass(frozen=True)
@@ -37,9 +37,11 @@ class Bus:
         *,
         starting: str = "latest",
         files_per_trigger: int | None = None,
+        arrival: bool = False,
     ) -> DataFrame:
-        """The topic as a stream of (key, value) text.
+        """The topic as a stream of (key, value) text, on request with ``arrival``.
 
+        ``arrival`` is a number that orders the records as the bus received them.
         ``starting`` applies to the first start of a Kafka query; a folder is read from its
         beginning.
         """
@@ -51,11 +53,13 @@ class Bus:
                 .option("startingOffsets", starting)
                 .load()
             )
-            return decode(raw)
-        reader = spark.readStream.schema(BUS_RECORD).option("recursiveFileLookup", True)
+            return decode(raw, arrival=arrival)
+        reader = spark.readStream.schema(STORED_RECORD).option("recursiveFileLookup", True)
         if files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-        return reader.parquet(self._topic_folder(topic))
+        raw = reader.parquet(self._topic_folder(topic))
+        order = [arrival_of(F.col("sent_at"), F.col("sent_no")).alias("arrival")] if arrival else []
+        return raw.select("key", "value", *order)
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         """Everything in the topic so far, as a table."""
@@ -80,7 +84,7 @@ class Bus:
                 .save()
             )
         else:
-            records.write.parquet(f"{self._topic_folder(topic)}/{uuid.uuid4().hex}")
+            stamped(records).write.parquet(f"{self._topic_folder(topic)}/{uuid.uuid4().hex}")
 
     def publish(
         self,
@@ -109,15 +113,34 @@ class Bus:
             folder = f"{self._topic_folder(topic)}/{sender}"
 
             def send(batch: DataFrame, number: int) -> None:
-                batch.write.mode("overwrite").parquet(f"{folder}-{number}")
+                stamped(batch).write.mode("overwrite").parquet(f"{folder}-{number}")
 
             writer = writer.foreachBatch(send)
         return writer.start()
 
 
-def decode(raw: DataFrame) -> DataFrame:
-    """Key and value bytes as text."""
-    return raw.select(F.col("key").cast("string"), F.col("value").cast("string"))
+def decode(raw: DataFrame, *, arrival: bool = False) -> DataFrame:
+    """Key and value bytes of Kafka records as text, on request with their arrival."""
+    # A topic has fewer than 100,000 partitions.
+    number = F.col("offset") * 100_000 + F.col("partition") if arrival else None
+    order = [arrival_of(F.col("timestamp"), number).alias("arrival")] if arrival else []
+    return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), *order)
+
+
+def arrival_of(time: Column, number: Column) -> Column:
+    """Time of receipt and, within it, a number, as one decimal that orders by both."""
+    micros = F.unix_micros(time).cast("decimal(18,0)") * F.lit(10**18).cast("decimal(19,0)")
+    return (micros + number.cast("decimal(18,0)")).cast("decimal(38,0)")
+
+
+def stamped(records: DataFrame) -> DataFrame:
+    """Records for a file: with the time they were sent and their number in the sending."""
+    return records.select(
+        "key",
+        "value",
+        F.current_timestamp().alias("sent_at"),
+        F.monotonically_increasing_id().alias("sent_no"),
+    )
 
 
 def encode(rows: DataFrame, key: str | None = None) -> DataFrame:

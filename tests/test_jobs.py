@@ -177,7 +177,7 @@ def test_serving(spark, settings, training, tmp_path):
             bus.send(spark.createDataFrame([(None, t) for t in bad], "key STRING, value STRING"), settings.bus.predictions_topic)
         finish(
             monitoring.start_snapshots(
-                bus.subscribe(spark, settings.bus.predictions_topic),
+                bus.subscribe(spark, settings.bus.predictions_topic, arrival=True),
                 quarantine=str(tmp_path / "q"),
                 metrics=str(tmp_path / "m"),
                 checkpoint=str(tmp_path / "mc"),
