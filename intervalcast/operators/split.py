@@ -31,6 +31,8 @@ def hash_sample(
     portable: bool = False,
 ) -> DataFrame:
     """Rows whose key hash falls in the first ``fraction`` of the hash range."""
+    if fraction >= 1.0:
+        return df
     return df.filter(in_fraction(keys, fraction, salt=salt, portable=portable))
 
 

@@ -190,6 +190,28 @@ def test_serving(spark, settings, training, tmp_path):
     assert spark.read.parquet(str(tmp_path / "q")).count() == 2
 
 
+def test_the_record_sent_last_is_the_latest(spark, tmp_path):
+    """Two sendings and several partitions in one batch: arrival counts, not size or place."""
+    bus = Bus("files", str(tmp_path / "bus"))
+    text = '{"event_time": "2022-06-01T12:00:00Z", "site_id": "1", "meter_type": "e", "prediction": %s}'
+    first = [(None, text % 100.0)]
+    later = [(None, text % x) for x in range(1000, 1400)] + [(None, text % 200.0)]
+    for rows, parts in ((first, 1), (later, 4)):
+        df = spark.createDataFrame(rows, "key STRING, value STRING").coalesce(parts)
+        bus.send(df, "p")
+    finish(
+        monitoring.start_snapshots(
+            bus.subscribe(spark, "p", arrival=True),
+            quarantine=str(tmp_path / "q"),
+            metrics=str(tmp_path / "m"),
+            checkpoint=str(tmp_path / "c"),
+        )
+    )
+    rows = monitoring.latest_version(spark, str(tmp_path / "m")).collect()
+    latest = {r["labels"]: r["value"] for r in rows if r["metric"] == monitor.LATEST}
+    assert latest == {'meter_type="e",site_id="1"': 200.0}
+
+
 def test_serving_options(spark, settings, training, tmp_path):
     """One forecast per window from averaged conditions, on local days, known sites only."""
     bus = Bus("files", str(tmp_path / "bus"))

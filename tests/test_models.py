@@ -92,7 +92,7 @@ def test_short_search_equals_the_validator(spark, frame):
     grid = {"maxDepth": [2, 3], "maxIter": [2, 4], "stepSize": [0.1]}
     search = modeling.tune_boosting(frame, SPEC, "label", grid, keys=["id"], folds=2, seed=5)
     validated = modeling.cross_validate(
-        frame, SPEC, modeling.boosted_trees("label", 5), grid, "label", keys=["id"], folds=2
+        frame, SPEC, modeling.boosted_trees("label", 5), grid, "label", keys=["id"], folds=2, seed=5
     )
     theirs = {
         tuple(sorted((p.name, v) for p, v in point.items())): rmse

@@ -113,10 +113,27 @@ def test_samples(spark):
     assert 150 < split.hash_sample(df, ["id"], 0.2).count() < 250
 
 
+@pytest.mark.parametrize("portable", [False, True])
+def test_small_fractions_and_extreme_ratios(spark, portable):
+    df = spark.range(1_000_000)
+    assert 8 < split.hash_sample(df, ["id"], 0.00004, portable=portable).count() < 80
+    for ratio, few in ((0.996, 1), (0.004, 0)):
+        sides = split.hash_split(df, ["id"], ratio, portable=portable)
+        assert 3600 < sides[few].count() < 4400
+    assert split.hash_sample(df, ["id"], 0.0).count() == 0
+
+
+def test_seeds_change_the_split(spark):
+    df = spark.range(1000)
+    one, two = (split.hash_split(df, ["id"], 0.5, salt=f"split{s}")[0] for s in (1, 2))
+    assert 150 < one.intersect(two).count() < 350
+
+
 def test_train_only_filter_leaves_the_test_rows(spark):
     train, test = labels(spark, [10.0] * 20 + [20.0]), labels(spark, [1000.0])
-    kept, untouched = split.train_only_filter(train, test, "label")
-    assert kept.count() == 20 and untouched.count() == 1
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    kept = split.train_only_filter(both, "label")
+    assert kept.groupBy("part").count().orderBy("part").collect() == [("test", 1), ("train", 20)]
 
 
 def test_metrics_agree_with_the_evaluator(spark):
@@ -255,6 +272,12 @@ def test_missing_labels_are_unknown(spark):
     assert metric(taken, monitor.LATEST, 'meter_type="unknown",site_id="unknown"') == 42.0
 
 
+def test_a_number_that_is_none_is_rejected(spark):
+    rows = [(None, '{"prediction": "NaN"}'), (None, '{"prediction": 1.5}')]
+    screened = monitor.screen(spark.createDataFrame(rows, "key STRING, value STRING"))
+    assert [r["reject"] for r in screened.collect()] == ["prediction is not a number", None]
+
+
 def test_snapshots_add_up(spark):
     first, second = (NOON, 1, "e", 100.0), ("2022-06-01 12:00:10", 1, "e", 300.0)
     merged = monitor.merge_snapshots(snap(spark, first), snap(spark, second))

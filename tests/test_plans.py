@@ -19,14 +19,23 @@ ONE_ROW = {
     "metric_lag",
     "metric_throughput",
     "null_counts",
+    "preview",
     "random_split",
+    "sample_rows",
     "sigma_bounds",
     "sigma_filter",
     "time_order",
     "train_only_filter",
 }
 LISTED = {"messages", "envelope_round_trip"}
-RUNS_AT_ONCE = {"bench_models", "tune_gbt", "score_batch", "stream_progress", "numeric_summary"}
+RUNS_AT_ONCE = {
+    "bench_models",
+    "tune_gbt",
+    "score_batch",
+    "stream_progress",
+    "numeric_summary",
+    "numeric_summary_infinite",
+}
 BATCH = [n for n in REGISTRY if not n.startswith("stream") and n not in RUNS_AT_ONCE]
 
 
@@ -45,6 +54,11 @@ def test_no_python_no_products_no_sorted_aggregates(spark, capsys, name):
     assert ("SinglePartition" in plan) <= (name in ONE_ROW | LISTED)
 
 
+def test_bounds_of_the_training_rows_take_two_scans(spark, capsys):
+    plan = plan_of(REGISTRY["train_only_filter"].build(spark, TABLES), capsys)
+    assert plan.count("FileScan parquet") == 2
+
+
 def test_scans_read_what_is_used(spark, capsys):
     plan = plan_of(REGISTRY["training_frame"].build(spark, TABLES), capsys)
     assert "props" not in plan and "event_id" not in plan and "c_name" not in plan
