@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, *, text_col: str = "text", size: int = WORDS)
 def _masks(bits: int) -> list[int]:
     """For the set bits of ``bits``: masks of the choices of three of six blocks of them."""
     places = [i for i in range(64) if bits >> i & 1]
-    blocks = [sum(1 << i for i in part) for part in np.array_split(places, BLOCKS)]
+    blocks = [sum(1 << i for i in part.tolist()) for part in np.array_split(places, BLOCKS)]
     return [sum(choice) for choice in combinations(blocks, BLOCKS - RADIUS)]
 
 
