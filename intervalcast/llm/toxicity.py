@@ -34,7 +34,8 @@ CHARS, WORDS = 12, 8  # sizes of the two word inputs
 BUCKETS = 2**14  # of character n-grams
 VOCABULARY = 4000
 GRAMS = (3, 4, 5)
-ROUNDS = 10
+ROUNDS, STEPS = 10, 600  # rounds over the sample and steps of learning, at least
+TOGETHER = 48  # texts of a step
 CACHE = 200_000  # words a worker remembers; more start it anew
 SHUT = 30.0
 
@@ -272,9 +273,11 @@ def train(texts: list[str], toxic: np.ndarray, *, seed: int = 9, rate: float = 0
     # Both kinds equally often.
     kinds = [np.flatnonzero(y == k) for k in (0, 1)]
     most = max(len(k) for k in kinds)
-    for turn in range(ROUNDS):
+    rounds = max(ROUNDS, -(-STEPS * TOGETHER // (2 * most)))
+    for turn in range(rounds):
+        last = turn >= 0.7 * rounds
         order = rng.permutation(np.concatenate([np.resize(rng.permutation(k), most) for k in kinds]))
-        for part in np.array_split(order, -(-len(order) // 48)):
+        for part in np.array_split(order, -(-len(order) // TOGETHER)):
             index: dict[bytes, int] = {}
             cut, owner = [], []
             for k, i in enumerate(part):
@@ -288,7 +291,7 @@ def train(texts: list[str], toxic: np.ndarray, *, seed: int = 9, rate: float = 0
             sides = _with_shut(net.projected(x))
             logits, _ = net.forward(sides, at, learn=False)
             # One window a text: drawn in favour of high scores, more and more strictly.
-            drawn = logits * (1.0 + turn) + rng.gumbel(size=len(logits)) * (turn < ROUNDS - 3)
+            drawn = logits * (1 + 10 * turn / rounds) + rng.gumbel(size=len(logits)) * (not last)
             ranked = np.lexsort((-drawn, own))
             chosen = ranked[np.concatenate([[0], np.flatnonzero(np.diff(own[ranked])) + 1])]
             logits, kept = net.forward(sides, at[chosen])
@@ -306,7 +309,7 @@ def train(texts: list[str], toxic: np.ndarray, *, seed: int = 9, rate: float = 0
                 first[k] += 0.1 * (g - first[k])
                 second[k] += 0.01 * (g * g - second[k])
                 m, v = first[k] / (1 - 0.9**step), second[k] / (1 - 0.99**step)
-                net.weights[k] -= (rate * (0.3 if turn >= ROUNDS - 3 else 1) * m / (np.sqrt(v) + 1e-6)).astype(np.float32)
+                net.weights[k] -= (rate * (0.3 if last else 1) * m / (np.sqrt(v) + 1e-6)).astype(np.float32)
     return net
 
 
