@@ -4,6 +4,7 @@
                                               |-> 6-hour totals per building
                                               |-> daily totals per site
                                               '-> predictions topic
+    totals -> their topics
 
 The scored table is itself a stream source, so the model runs once per event however many
 results are derived, and each derived query can fail and restart on its own.
@@ -19,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import CONDITION_COLS, PREDICTION, WEATHER_BATCH
+from ..schemas import CONDITION_COLS, DAILY_TOTAL, HOURLY_TOTAL, PREDICTION, WEATHER_BATCH
 from ..settings import METER_TYPES, Settings
 from ..sources.bus import Bus, encode
 from ..sources.models import load_model
 from ..sources.sinks import append_parquet
-from ..sources.tables import stream_parquet
+from ..sources.tables import ensure_folder, stream_parquet
 from ..streaming.runner import finish, supervise
 from ..streaming.scoring import events_from_bus, expand, score
 from ..streaming.windows import window_means, window_totals, with_event_time
@@ -32,6 +33,7 @@ from . import domain
 
 PREDICTIONS, HOURLY, DAILY = "predictions", "hourly_aggregations", "daily_aggregations"
 DATE = "event_date"
+FILES = 8  # of a day in a batch
 
 
 @dataclass(frozen=True)
@@ -41,13 +43,15 @@ class Options:
     ``how``: ``sum`` adds every event's forecast, ``avg`` takes their mean per window.
     ``pre_average``: average the conditions per window first, so there is one forecast
     per window.  ``zone``: cut windows on the local clock of that zone.  ``matched_only``:
-    leave events of unknown sites out of the totals.
+    leave events of unknown sites out of the totals.  ``spread``: tasks for the events of
+    one site, where the plan has state and the buildings are too many to broadcast.
     """
 
     how: str = "sum"
     pre_average: bool = False
     zone: str | None = None
     matched_only: bool = False
+    spread: int = 1
 
 
 def feature_stream(
@@ -78,6 +82,7 @@ def feature_stream(
         categories=METER_TYPES,
         owned=owned,
         entity="building_id",
+        spread=options.spread,
     )
     return domain.engineer_features(expanded, "event_time")
 
@@ -96,10 +101,15 @@ def predictions_of(features: DataFrame, model: PipelineModel) -> DataFrame:
 def start_scoring(
     predictions: DataFrame, settings: Settings, *, every: str | None
 ) -> StreamingQuery:
-    """Predictions to Parquet, in folders by event date so that readers can skip days."""
+    """Predictions to Parquet, in folders by event date so that readers can skip days.
+
+    Rows are brought together by date first, in FILES parts: a batch adds that many files to
+    a day, not one for each task.
+    """
     dated = predictions.withColumn(DATE, F.to_date("event_time"))
+    part = F.pmod(F.xxhash64("building_id", "meter_type"), F.lit(FILES))
     return append_parquet(
-        dated,
+        dated.repartition(DATE, part),
         settings.paths.output(PREDICTIONS),
         settings.paths.checkpoint(PREDICTIONS),
         every=every,
@@ -113,7 +123,10 @@ def scored_stream(
 ) -> tuple[DataFrame, str]:
     """The predictions table as a watermarked stream, and its time column for windows."""
     dated = T.StructType([*PREDICTION.fields, T.StructField(DATE, T.DateType())])
-    stored = stream_parquet(spark, settings.paths.output(PREDICTIONS), dated).drop(DATE)
+    path = settings.paths.output(PREDICTIONS)
+    ensure_folder(spark, path)
+    files = settings.stream.files_per_trigger
+    stored = stream_parquet(spark, path, dated, files_per_trigger=files).drop(DATE)
     timed = with_event_time(stored, "event_time", settings.stream.watermark, zone=options.zone)
     return timed, "local_time" if options.zone else "event_time"
 
@@ -177,16 +190,40 @@ def republish(
     available_now: bool = False,
 ) -> StreamingQuery:
     """Any stored result to a topic, with the columns of its own schema and a null key."""
+    ensure_folder(spark, path)
     stored = stream_parquet(spark, path, schema, files_per_trigger=files_per_trigger)
     return bus.publish(
         encode(stored), topic, checkpoint=checkpoint, available_now=available_now
     )
 
 
+def start_publishing_totals(
+    spark: SparkSession, settings: Settings, bus: Bus, *, paced: bool
+) -> list[StreamingQuery]:
+    """The stored totals to their topics."""
+    topics = settings.bus
+    return [
+        republish(
+            spark,
+            bus,
+            path=settings.paths.output(name),
+            schema=schema,
+            topic=topic,
+            checkpoint=settings.paths.checkpoint(f"bus_{name}"),
+            files_per_trigger=settings.stream.files_per_trigger,
+            available_now=not paced,
+        )
+        for name, schema, topic in (
+            (HOURLY, HOURLY_TOTAL, topics.hourly_topic),
+            (DAILY, DAILY_TOTAL, topics.daily_topic),
+        )
+    ]
+
+
 def start_queries(
     spark: SparkSession, settings: Settings, bus: Bus, *, options: Options = Options()
 ) -> list[StreamingQuery]:
-    """All four queries at their configured pace."""
+    """All queries at their configured pace."""
     model = load_model(settings.paths.model)
     features = build_feature_stream(spark, settings, bus, options=options)
     scoring = start_scoring(
@@ -196,6 +233,7 @@ def start_queries(
         scoring,
         *start_totals(spark, settings, options, paced=True),
         start_publishing(spark, settings, bus, paced=True),
+        *start_publishing_totals(spark, settings, bus, paced=True),
     ]
 
 
@@ -214,4 +252,5 @@ def catch_up(
         *start_totals(spark, settings, options, paced=False),
         start_publishing(spark, settings, bus, paced=False),
     ]
-    return [scoring, *map(finish, derived)]
+    totals = [finish(query) for query in derived]
+    return [scoring, *totals, *map(finish, start_publishing_totals(spark, settings, bus, paced=False))]

@@ -44,8 +44,17 @@ def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return interval_mean(
-        conditions(spark, sf_dir), keys=["site_id"], ts="ts", values=["condition"]
+    """Mean per site and interval.  Entities are added up first, so that a busy one is a row
+    per interval, not all its readings, in the join with the sites."""
+    views = readings(spark, sf_dir).filter(F.col("event_type") == "view")
+    interval = interval_of(views, "ts").alias("interval_start")
+    parts = views.groupBy("user_id", interval).agg(
+        F.sum("value").alias("total"), F.count("value").alias("n")
+    )
+    sites = entities(spark, sf_dir).select("user_id", "site_id")
+    mean = F.sum("total") / F.nullif(F.sum("n"), F.lit(0))
+    return parts.join(sites, "user_id").groupBy("site_id", "interval_start").agg(
+        mean.alias("condition")
     )
 
 

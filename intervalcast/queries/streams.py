@@ -83,7 +83,7 @@ def stream_window_1d(spark, sf_dir):
     """Daily totals per site of the enriched stream."""
     sites = entities(spark, sf_dir).select("user_id", "site_id")
     totals = window_totals(
-        attach(events_stream(spark, sf_dir), sites, ["user_id"]),
+        attach(events_stream(spark, sf_dir), sites, ["user_id"], spread=8),
         ts="ts",
         length="1 day",
         keys=["site_id"],

@@ -107,6 +107,7 @@ class StreamSettings(_FromEnv):
     trigger_daily: str = _setting("5 minutes", "STREAM_TRIGGER_DAILY")
     hourly_window: str = _setting("6 hours", "STREAM_HOURLY_WINDOW")
     daily_window: str = _setting("1 day", "STREAM_DAILY_WINDOW")
+    files_per_trigger: int = _setting(1000, "STREAM_FILES_PER_TRIGGER")
 
 
 @dataclass(frozen=True)

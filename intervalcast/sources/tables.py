@@ -28,6 +28,12 @@ def literal_table(spark: SparkSession, name: str, values: list[str]) -> DataFram
     return spark.createDataFrame([(value,) for value in values], schema)
 
 
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Make the folder if it is missing, so that a stream can wait for its first files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def stream_parquet(
     spark: SparkSession, path: str, schema: T.StructType, *, files_per_trigger: int | None = None
 ) -> DataFrame:

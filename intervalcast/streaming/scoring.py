@@ -43,13 +43,15 @@ def expand(
     categories: Sequence[str],
     owned: DataFrame | None = None,
     entity: str | None = None,
+    spread: int = 1,
 ) -> DataFrame:
     """Each event once per entity of its site and category.
 
     Events of unknown sites stay, with null entity columns and ``is_matched`` false.  All
-    categories are taken unless ``owned`` lists those each entity has.
+    categories are taken unless ``owned`` lists those each entity has.  ``spread`` deals a
+    busy site's events to that many tasks.
     """
-    matched = attach(events, entities, on, matched="is_matched")
+    matched = attach(events, entities, on, matched="is_matched", spread=spread)
     if owned is None:
         return fan_out(matched, category, categories)
     return fan_out_by(matched, owned, [entity], category=category)
