@@ -208,7 +208,7 @@ def faulty_messages(spark, sf_dir):
     )
 
 
-NOW = "2030-01-01 00:00:00"
+MUCH_LATER = "2030-01-01 00:00:00"
 SCREENED_SQL = """
   SELECT event_id, ts, value, event_id % 10 AS k,
          CASE event_id % 10 WHEN 7 THEN 'malformed' WHEN 3 THEN 'prediction is not a number'
@@ -244,7 +244,7 @@ def quarantine(spark, sf_dir):
                          'meter_type="' || meter_type || '",site_id="unknown"',
                          round(arg_max(value, event_id), 4) FROM r GROUP BY meter_type
         UNION ALL SELECT '{monitor.LAG}', '',
-                         round((epoch_us(TIMESTAMP '{NOW}') - epoch_us(arg_max(ts, event_id))) / 1e6, 4)
+                         round((epoch_us(TIMESTAMP '{MUCH_LATER}') - epoch_us(arg_max(ts, event_id))) / 1e6, 4)
                   FROM r
         """
     + "".join(
@@ -265,7 +265,7 @@ def stream_metrics(spark, sf_dir):
     finish(
         start_snapshots(
             bus.subscribe(spark, "predictions-stream", arrival=True),
-            now=F.lit(NOW).cast("timestamp"),
+            now=F.lit(MUCH_LATER).cast("timestamp"),
             quarantine=f"{folder}/quarantine",
             metrics=f"{folder}/metrics",
             checkpoint=f"{folder}/checkpoint",
