@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ __all__ = [
     "kept_rows",
     "looked_up",
     "materialise",
+    "maybe_in",
+    "sorted_groups",
     "text_or_empty",
     "words_of",
 ]
@@ -139,3 +143,48 @@ def kept_rows(docs: DataFrame, marks: dict[str, Column], winners: DataFrame) ->
 
 def _unordered(df: DataFrame, column: str) -> bool:
     return df.schema[column].dataType.typeName() in {"map", "variant"}
+
+
+def sorted_groups(name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """Runs of rows (key, kind, blob) with equal values of a sorted column."""
+    held, rows = None, []
+    for batch in batches:
+        at = batch.schema.get_field_index(name)
+        columns = [batch.column(batch.schema.get_field_index(c)) for c in ("key", "kind", "blob")]
+        for i, value in enumerate(batch.column(at).to_pylist()):
+            if value != held and rows:
+                yield held, rows
+                rows = []
+            held = value
+            rows.append(tuple(c[i].as_py() for c in columns))
+    if rows:
+        yield held, rows
+
+
+# Bits of a filter: four megabytes, whatever the table holds.
+FILTER_BITS = 1 << 25
+
+
+def maybe_in(rows: DataFrame, keys: DataFrame, column: str, *, inverse: bool = False) -> DataFrame:
+    """Rows whose column may be among the keys (both bigint hashes): none that is, is lost.
+
+    ``inverse`` gives the other rows, which are not among the keys for sure.
+
+    A filter of a fixed size is made of the keys and sent to the tasks.  It spares the
+    shuffle before a join most rows without a partner, as long as keys are fewer than bits.
+    """
+    bit = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    parts = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).cast("int").alias("place"))
+    place_in_word = F.col("bit").bitwiseAND(31).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), place_in_word)
+    found = parts.agg(F.bit_or(one).alias("bits")).toPandas()
+    bits = np.zeros(FILTER_BITS // 32, dtype=np.uint32)
+    bits[found["place"].to_numpy()] = found["bits"].to_numpy(dtype=np.int64).astype(np.uint32)
+    sent = rows.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def is_set(values: pd.Series) -> pd.Series:
+        at = values.to_numpy() % FILTER_BITS
+        return pd.Series((sent.value[at >> 5] >> (at & 31).astype(np.uint32) & 1) == 1)
+
+    return rows.filter(~is_set(column) if inverse else is_set(column))

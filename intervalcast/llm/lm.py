@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of, materialise, words_of
+from .common import crc_of, materialise, sorted_groups, words_of
 
 TOP = 1000
 CLASSES = 64
@@ -277,25 +277,9 @@ def _packed(lex: Lexicon, table: np.ndarray, buckets: int, batches: Iterator[pa.
             key += 1
 
 
-def _by(name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """Runs of rows (key, kind, blob) with equal values of a sorted column."""
-    held, rows = None, []
-    for batch in batches:
-        at = batch.schema.get_field_index(name)
-        columns = [batch.column(batch.schema.get_field_index(c)) for c in ("key", "kind", "blob")]
-        for i, value in enumerate(batch.column(at).to_pylist()):
-            if value != held and rows:
-                yield held, rows
-                rows = []
-            held = value
-            rows.append(tuple(c[i].as_py() for c in columns))
-    if rows:
-        yield held, rows
-
-
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Buckets of words to sums over the words of each text."""
-    for _, rows in _by("route", batches):
+    for _, rows in sorted_groups("route", batches):
         out = [row for row in rows if row[1] == 0]
         packed = [np.frombuffer(blob, dtype=ENTRY) for _, kind, blob in rows if kind == 1]
         if packed:
@@ -322,7 +306,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces of texts to rows."""
-    for _, rows in _by("key", batches):
+    for _, rows in sorted_groups("key", batches):
         fixed = np.frombuffer(next(blob for _, kind, blob in rows if kind == 0), dtype=FIXED)
         logs, known = np.zeros(len(fixed)), np.zeros(len(fixed), dtype=np.int64)
         for _, kind, blob in rows:

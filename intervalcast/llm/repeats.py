@@ -24,15 +24,17 @@ in parts first.  Identifiers of runs and windows have 128 bits or more.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_or_empty
+from .common import materialise, maybe_in, sorted_groups, text_or_empty
 
 LENGTH = 400
 GRAM = 201
@@ -125,28 +127,100 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Single windows of the listed runs of each text."""
+ENTRY = np.dtype([("a", "<u8"), ("b", "<u4"), ("number", "<u4")])
+TEXTS = 200  # texts whose windows are packed together
+BUCKET = 2_000_000  # windows to a bucket, on average
+PACKED = "route bigint, key bigint, kind int, blob binary"
+
+
+def _packed(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of the listed runs: per piece of texts each different one once, by bucket.
+
+    A row of kind 0 keeps what the piece's windows are, and which of them are equal.
+    """
+    key = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
     for batch in batches:
-        ids, marks, texts, listed = (batch.column(i) for i in range(4))
-        for i in range(batch.num_rows):
-            data = np.frombuffer(texts[i].as_buffer(), dtype=np.uint8)
-            for run in listed[i].as_py():
-                for begin in range(run["first"], run["last"] + 1, PIECE):
-                    end = min(run["last"] + 1, begin + PIECE)
-                    found = bucket_ids(data[begin : end + LENGTH - 1])
-                    n = end - begin
-                    where = pa.array(np.full(n, i))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            ids.take(where),
-                            marks.take(where),
-                            pa.array(np.arange(begin, end)),
-                            pa.array(found[:n].view(np.int64)),
-                            pa.array(found[STEP : STEP + n].view(np.int64)),
-                        ],
-                        names=["id", "mark", "start", "a", "b"],
-                    )
+        for at in range(0, batch.num_rows, TEXTS):
+            ids, marks, texts, listed = (batch.column(i).slice(at, TEXTS) for i in range(4))
+            spans, first_ids, second_ids = [], [], []
+            for i in range(len(ids)):
+                data = np.frombuffer(texts[i].as_buffer(), dtype=np.uint8)
+                for run in listed[i].as_py():
+                    for begin in range(run["first"], run["last"] + 1, PIECE):
+                        end = min(run["last"] + 1, begin + PIECE)
+                        found = bucket_ids(data[begin : end + LENGTH - 1])
+                        spans.append((i, begin, end))
+                        first_ids.append(found[: end - begin])
+                        second_ids.append(found[STEP : STEP + end - begin])
+            a = np.concatenate(first_ids)
+            b = (np.concatenate(second_ids) >> np.uint64(32)).astype(np.uint32)
+            order = np.lexsort((b, a))
+            new = np.ones(len(a), dtype=bool)
+            new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
+            number = np.empty(len(a), dtype=np.uint32)
+            number[order] = np.cumsum(new) - 1
+            one = order[new]
+            entry = np.empty(len(one), dtype=ENTRY)
+            entry["a"], entry["b"], entry["number"] = a[one], b[one], np.arange(len(one))
+            kept = (ids.to_pylist(), marks.to_pylist(), np.array(spans, dtype=np.int64), number)
+            routes, kinds, blobs = [buckets + key % buckets], [0], [pickle.dumps(kept)]
+            bucket = (entry["a"] >> np.uint64(7)) % np.uint64(buckets)
+            by_bucket = np.argsort(bucket, kind="stable")
+            for part in np.split(by_bucket, np.flatnonzero(np.diff(bucket[by_bucket])) + 1):
+                routes.append(int(bucket[part[0]]))
+                kinds.append(1)
+                blobs.append(entry[part].tobytes())
+            arrays = [
+                pa.array(routes, pa.int64()),
+                pa.array([key] * len(routes), pa.int64()),
+                pa.array(kinds, pa.int32()),
+                pa.array(blobs, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["route", "key", "kind", "blob"])
+            key += 1
+
+
+def _twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets of windows to the numbers of those that another piece has, by piece."""
+    for _, rows in sorted_groups("route", batches):
+        out = [row for row in rows if row[1] == 0]
+        packed = [(key, np.frombuffer(blob, dtype=ENTRY)) for key, kind, blob in rows if kind == 1]
+        if packed:
+            entry = np.concatenate([x for _, x in packed])
+            order = np.lexsort((entry["b"], entry["a"]))
+            a, b = entry["a"][order], entry["b"][order]
+            same = np.zeros(len(entry), dtype=bool)
+            equal = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+            same[order[1:]] |= equal
+            same[order[:-1]] |= equal
+            at = 0
+            for key, x in packed:
+                numbers = x["number"][same[at : at + len(x)]]
+                at += len(x)
+                if len(numbers):
+                    out.append((key, 1, numbers.tobytes()))
+        if out:
+            key, kind, blob = zip(*out, strict=True)
+            arrays = [pa.array(key, pa.int64()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "kind", "blob"])
+
+
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of the windows that occur twice, in a piece or in several."""
+    for _, rows in sorted_groups("key", batches):
+        ids, marks, spans, number = pickle.loads(next(b for _, kind, b in rows if kind == 0))
+        twice = np.bincount(number) > 1
+        for _, kind, blob in rows:
+            if kind == 1:
+                twice[np.frombuffer(blob, dtype="<u4")] = True
+        out, at = [], 0
+        for i, begin, end in spans.tolist():
+            hit = np.flatnonzero(np.diff(np.concatenate([[0], twice[number[at : at + end - begin]], [0]])))
+            at += end - begin
+            out += [(ids[i], marks[i], begin + x, begin + y - 1 + LENGTH) for x, y in hit.reshape(-1, 2).tolist()]
+        if out:
+            columns = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "mark", "start", "end"])
 
 
 def _same_row(left: str = "l", right: str = "r"):
@@ -164,22 +238,31 @@ def repeated(texts: DataFrame) -> DataFrame:
     long = texts.filter(F.octet_length("data") >= LENGTH)
     all_runs = materialise(long.mapInArrow(lambda b: _gathered(_runs(b)), RUN), "runs")
     shared = all_runs.groupBy("bucket").count().filter(F.col("count") > 1).select("bucket")
-    met = materialise(all_runs.join(shared, "bucket"), "shared")
+    shared = materialise(shared, "buckets")
+    met = materialise(maybe_in(all_runs, shared, "bucket").join(shared, "bucket"), "shared")
 
     one = F.min(F.struct("id", "mark", "first", "last")).alias("one")
     refined = materialise(met.groupBy("bucket", "refined").agg(F.count("*").alias("n"), one), "refined")
     whole = refined.filter(F.col("n") > 1).select("bucket", "refined")
-    found = met.join(whole, ["bucket", "refined"]).select("id", "mark", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end"))
+    found = met.join(whole, ["bucket", "refined"]).select(
+        "id", "mark", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end")
+    )
 
     split = refined.groupBy("bucket").count().filter(F.col("count") > 1).select("bucket")
     left = refined.join(split, "bucket").select("one.*")
-    left = left.groupBy("id", "mark").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    near = long.alias("l").join(left.alias("r"), _same_row()).select("l.id", "l.mark", "data", "runs")
+    left = left.groupBy("id", "mark").agg(
+        F.collect_list(F.struct("first", "last")).alias("runs"),
+        F.sum(F.col("last") - F.col("first") + 1).alias("windows"),
+    )
+    left = materialise(left, "listed")
+    buckets = max(8, (left.agg(F.sum("windows")).first()[0] or 0) // BUCKET)
     # A row that repeats id and text adds nothing: its runs are whole repeats already.
-    single = "id bigint, mark bigint, start bigint, a bigint, b bigint"
-    windows = materialise(near.mapInArrow(lambda b: _gathered(_windows(b)), single), "windows")
-    twice = windows.groupBy("a", "b").count().filter(F.col("count") > 1).select("a", "b")
-    last = windows.join(twice, ["a", "b"]).select("id", "mark", "start", (F.col("start") + LENGTH).alias("end"))
+    some = maybe_in(long, left, "mark").alias("l")
+    near = some.join(left.alias("r"), _same_row()).select("l.id", "l.mark", "data", "runs")
+    by_bucket = near.mapInArrow(lambda b: _packed(buckets, b), PACKED).repartition("route")
+    twice = by_bucket.sortWithinPartitions("route").mapInArrow(_twice, "key bigint, kind int, blob binary")
+    by_piece = twice.repartition("key").sortWithinPartitions("key")
+    last = by_piece.mapInArrow(_found, "id bigint, mark bigint, start bigint, end bigint")
     spans = F.collect_list(F.struct("start", "end")).alias("spans")
     return found.unionByName(last).groupBy("id", "mark").agg(spans)
 
@@ -215,7 +298,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, kept (bytes that stay), n_removed, n_spans (maximal removed runs)."""
     texts = _keyed(docs, id_col, text_col)
-    spans = repeated(texts)
-    met = texts.alias("l").join(spans.alias("r"), _same_row(), "left").select("l.id", "data", "spans")
-    rows = met.mapInArrow(_cut, "id bigint, kept binary, n_removed bigint, n_spans bigint")
+    spans = materialise(repeated(texts), "spans")
+    # Texts without a span need not be shuffled.
+    some = maybe_in(texts, spans, "mark")
+    marked = some.alias("l").join(spans.alias("r"), _same_row(), "left").select("l.id", "data", "spans")
+    others = maybe_in(texts, spans, "mark", inverse=True).select("id", "data", F.lit(None).cast(SPANS).alias("spans"))
+    rows = marked.unionByName(others).mapInArrow(_cut, "id bigint, kept binary, n_removed bigint, n_spans bigint")
     return rows.withColumnRenamed("id", id_col)
+
+
+SPANS = "array<struct<start:bigint,end:bigint>>"
