@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, maybe_in, sorted_groups, text_or_empty
+from .common import looked_up, materialise, maybe_in, sorted_groups, text_or_empty
 
 LENGTH = 400
 GRAM = 201
@@ -47,9 +47,9 @@ BASE = 0x9E3779B97F4A7C15
 PLACE = np.uint64((1 << 24) - 1)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=32)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
+    """Powers of the base and of its inverse modulo 2**64; n is a power of two."""
     out = []
     for base in (BASE, pow(BASE, -1, 2**64)):
         factors = np.full(n, base, dtype=np.uint64)
@@ -129,7 +129,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator
 
 ENTRY = np.dtype([("a", "<u8"), ("b", "<u4"), ("number", "<u4")])
 TEXTS = 200  # texts whose windows are packed together
-BUCKET = 2_000_000  # windows to a bucket, on average
+BUCKET = 500_000  # windows to a bucket, on average
 PACKED = "route bigint, key bigint, kind int, blob binary"
 
 
@@ -243,8 +243,8 @@ def repeated(texts: DataFrame) -> DataFrame:
 
     one = F.min(F.struct("id", "mark", "first", "last")).alias("one")
     refined = materialise(met.groupBy("bucket", "refined").agg(F.count("*").alias("n"), one), "refined")
-    whole = refined.filter(F.col("n") > 1).select("bucket", "refined")
-    found = met.join(whole, ["bucket", "refined"]).select(
+    whole = refined.filter(F.col("n") > 1).select("bucket", "refined", "n")
+    found = looked_up(met, whole, ["bucket", "refined"], "n").select(
         "id", "mark", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end")
     )
 
@@ -302,9 +302,9 @@ def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # Texts without a span need not be shuffled.
     some = maybe_in(texts, spans, "mark")
     marked = some.alias("l").join(spans.alias("r"), _same_row(), "left").select("l.id", "data", "spans")
-    others = maybe_in(texts, spans, "mark", inverse=True).select("id", "data", F.lit(None).cast(SPANS).alias("spans"))
-    rows = marked.unionByName(others).mapInArrow(_cut, "id bigint, kept binary, n_removed bigint, n_spans bigint")
-    return rows.withColumnRenamed("id", id_col)
-
-
-SPANS = "array<struct<start:bigint,end:bigint>>"
+    rows = marked.mapInArrow(_cut, "id bigint, kept binary, n_removed bigint, n_spans bigint")
+    none = F.lit(0).cast("bigint")
+    others = maybe_in(texts, spans, "mark", inverse=True).select(
+        "id", F.col("data").alias("kept"), none.alias("n_removed"), none.alias("n_spans")
+    )
+    return rows.unionByName(others).withColumnRenamed("id", id_col)
