@@ -13,6 +13,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from intervalcast.llm import (
     bpe,
     components,
@@ -24,6 +25,7 @@ from intervalcast.llm import (
     quality,
     repeats,
     simhash,
+    similar,
     toxicity,
 )
 from intervalcast.llm.queries import QUERIES
@@ -240,6 +242,57 @@ def test_links_connect_all_near_fingerprints(spark, large, monkeypatch):
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
 
 
+# Similar texts
+
+
+def plain_set(text):
+    words = (text or "").encode().translate(simhash_lower()).split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def plain_jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("large", [4096, 7])
+def test_edited_copies_go_at_a_similarity_of_four_fifths(spark, large, monkeypatch):
+    """Copies with edits on either side of 0.8, most of them beyond three bits of fingerprint."""
+    monkeypatch.setattr(similar, "LARGE", large)
+    rnd = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(400)]
+    common = "this line is the same in every one of the texts below and says nothing".split()
+    texts = [None, "", "one two", "One  two", "a b c d e", "a b c d e f"]
+    for k in range(14):
+        base = common + [rnd.choice(vocabulary) for _ in range(rnd.choice([8, 40, 150, 400]))]
+        texts.append(" ".join(base))
+        for _ in range(rnd.randint(1, 25)):
+            words = list(base)
+            for _ in range(rnd.randint(1, 1 + len(base) // 30)):
+                words[rnd.randrange(len(words))] = rnd.choice(vocabulary)
+            texts.append(" ".join(words) + " tail" * (k % 2))
+    rnd.shuffle(texts)
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], COLUMNS).repartition(3)
+    sets = [plain_set(t) for t in texts]
+    label, far = list(range(len(texts))), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if plain_jaccard(sets[i], sets[j]) >= 0.8:
+                far += (plain_fingerprint(texts[i]) ^ plain_fingerprint(texts[j])).bit_count() > 3
+                old, new = label[i], label[j]
+                label = [min(old, new) if x in (old, new) else x for x in label]
+    assert far > 50
+    kept = corpus_pipeline.drop_near(spark, df, TABLES)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label))
+
+
+def test_similar_stage_on_awkward_rows(docs, rows, empty):
+    kept = similar.drop_similar(docs)
+    sets = {frozenset(plain_set(t)) for _, t, *_ in rows}
+    assert kept.columns == docs.columns and 0 < kept.count() <= len(sets)
+    assert similar.drop_similar(empty).count() == 0
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)] + [(7, 7)]
     found = components.components(spark.createDataFrame(links, "a BIGINT, b BIGINT")).collect()
