@@ -81,12 +81,13 @@ def merged_runs(digests: DataFrame) -> DataFrame:
     while True:
         grp = F.floor(F.col("run") / F.lit(FAN**level)).cast("bigint")
         piece = F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("bigint")
-        piece = F.shiftright(piece, 56 - BITS * min(level, 13))
+        piece = F.shiftright(piece, 56 - BITS * min(max(level, int(left <= 1)), 13))
         level_rows = rows.select(
             *KEYS, "id", "row", "n", "run", grp.alias("grp"), piece.alias("slice")
         )
-        # Level 0 merges within each run; the rows of a run are in one task already.
-        if level:
+        # Level 0 merges within each run, which its readers may have cut; the last level deals
+        # the rows anew, so that a digest is in one task there.
+        if level or left <= 1:
             level_rows = level_rows.repartition("grp", "slice")
         rows = level_rows.sortWithinPartitions(
             "grp", "slice", *KEYS, F.col("id").asc_nulls_last(), "row"

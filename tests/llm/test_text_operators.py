@@ -170,6 +170,15 @@ def test_runs_meet_over_several_levels(spark, monkeypatch):
     assert {r.keep_id: r.group_size for r in got} == sizes and sum(r.kept for r in got) == len(sizes)
 
 
+def test_a_single_run_read_by_several_tasks(spark):
+    """One partition of digests in a file that is read in pieces."""
+    df = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), (F.col("id") % 50).cast("string").alias("text"))
+    digests = exact_dedup.digest_rows(df)
+    assert digests.agg(F.max("run")).first()[0] == 0
+    runs = exact_dedup.merged_runs(digests.repartition(5))
+    assert sorted((r.keep_id, r.n) for r in runs.collect()) == [(i, 60) for i in range(50)]
+
+
 # SimHash
 
 
