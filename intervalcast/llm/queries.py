@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, edit_counts, exact_dedup, lm, mixing, pii, quality, repeats, simhash, toxicity
+from . import (
+    bpe,
+    divergence,
+    edit_counts,
+    exact_dedup,
+    hard_negatives,
+    lm,
+    maxscore,
+    mixing,
+    pii,
+    quality,
+    repeats,
+    simhash,
+    toxicity,
+)
 from .common import crc_of, documents, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +196,90 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         "rule",
     )
+
+
+# Integer vectors of the rows that take part.
+VECTORS_SQL = """
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+@query(f"""
+    WITH e AS ({VECTORS_SQL} AND label IS NOT NULL),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                 list_inner_product(a.v, b.v)::BIGINT AS score
+          FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, positive_id,
+           (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER
+             AS rank,
+           id AS negative_id, positive_score, score AS negative_score
+    FROM s JOIN p USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10)
+    rows = documents(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", moved.otherwise(F.col("label").cast("bigint")).alias("label")
+    )
+    return hard_negatives.hard_negatives(rows)
+
+
+@query(rf"""
+    WITH d AS (
+      SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+                            lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                   'abcdefghijklmnopqrstuvwxyz')) AS terms
+      FROM documents),
+    o AS (SELECT lang, source, unnest(terms) AS term FROM d),
+    f AS (SELECT lang, unnest(list_distinct(terms)) AS term FROM d),
+    k AS (SELECT lang, term FROM f GROUP BY ALL HAVING count(*) >= {divergence.LEAST_DOCS}),
+    c AS (SELECT lang, source, term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    v AS (SELECT lang, count(*) AS kept FROM k GROUP BY 1),
+    n AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY 1, 2),
+    t AS (SELECT lang, term, sum(n) AS total FROM c GROUP BY 1, 2),
+    m AS (SELECT lang, sum(total) AS total FROM t GROUP BY 1),
+    p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                 (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)::HUGEINT)
+                      // (coalesce(n.total, 0) + 2 * v.kept)::HUGEINT)::BIGINT AS p,
+                 (1 + (1000000000::HUGEINT * (t.total + 2)::HUGEINT)
+                      // (m.total + 2 * v.kept)::HUGEINT)::BIGINT AS q
+          FROM g JOIN k USING (lang) JOIN v USING (lang) JOIN t USING (lang, term) JOIN m USING (lang)
+               LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+               LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+    x AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    y AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+    z AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+          FROM p WHERE n > 0 AND p > q)
+    SELECT lang, source, 'pair' AS part, item, value,
+           (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank
+    FROM y
+    UNION ALL
+    SELECT lang, source, 'term', item, value,
+           (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank
+    FROM z QUALIFY rank <= {divergence.TOP}
+""")
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir).select("text", "lang", "source"))
+
+
+@query(f"""
+    WITH e AS ({VECTORS_SQL}),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+          FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+           vec_id, score
+    FROM s QUALIFY rank <= 5
+""")
+def op13_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(documents(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
