@@ -173,18 +173,19 @@ def maybe_in(rows: DataFrame, keys: DataFrame, column: str, *, inverse: bool = F
     A filter of a fixed size is made of the keys and sent to the tasks.  It spares the
     shuffle before a join most rows without a partner, as long as keys are fewer than bits.
     """
-    bit = F.pmod(F.col(column), F.lit(FILTER_BITS))
-    parts = keys.select(bit.alias("bit")).groupBy(F.shiftright("bit", 5).cast("int").alias("place"))
-    place_in_word = F.col("bit").bitwiseAND(31).cast("int")
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), place_in_word)
-    found = parts.agg(F.bit_or(one).alias("bits")).toPandas()
-    bits = np.zeros(FILTER_BITS // 32, dtype=np.uint32)
-    bits[found["place"].to_numpy()] = found["bits"].to_numpy(dtype=np.int64).astype(np.uint32)
-    sent = rows.sparkSession.sparkContext.broadcast(bits)
+    # Buckets of 2^15 bits, each one row of four kilobytes.
+    at = F.pmod(F.col(column), F.lit(FILTER_BITS)) + 1
+    bucket, place = F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("place")
+    parts = keys.select(bucket, place).groupBy("bucket")
+    found = parts.agg(F.bitmap_construct_agg("place").alias("bits")).collect()
+    bits = np.zeros((FILTER_BITS >> 15, 4096), dtype=np.uint8)
+    for row in found:
+        bits[row.bucket - 1] = np.frombuffer(row.bits, dtype=np.uint8)
+    sent = rows.sparkSession.sparkContext.broadcast(bits.reshape(-1))
 
     @F.pandas_udf("boolean")
     def is_set(values: pd.Series) -> pd.Series:
         at = values.to_numpy() % FILTER_BITS
-        return pd.Series((sent.value[at >> 5] >> (at & 31).astype(np.uint32) & 1) == 1)
+        return pd.Series((sent.value[at >> 3] >> (at & 7).astype(np.uint8) & 1) == 1)
 
     return rows.filter(~is_set(column) if inverse else is_set(column))

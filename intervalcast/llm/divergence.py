@@ -22,15 +22,16 @@ terms has value 0 for all pairs.  An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, maybe_in
 
 LEAST_DOCS = 10
 TOP = 10
@@ -39,14 +40,17 @@ SMOOTH = 2
 WIDTH = 64  # bits of a digest
 
 # Distinct (group, term) held by a task before they are handed on; changes no result.
-HELD = 300_000
+HELD = 600_000
 
 # Letters to lower case, other ASCII to blanks; all bytes beyond ASCII belong to terms.
 TERM_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 
-COUNTED = "lang string, source string, digest bigint, term string, n bigint, docs bigint"
+COUNTED = (
+    "lang string, digest bigint, term string, docs bigint, occurrences bigint, "
+    "sources array<string>, counts array<bigint>"
+)
 
 
 def digest_of(term: bytes, width: int = WIDTH) -> int:
@@ -55,70 +59,108 @@ def digest_of(term: bytes, width: int = WIDTH) -> int:
     return value - 2**64 if value >= 2**63 else value
 
 
-def counted(docs: DataFrame, *, text_col: str, width: int = WIDTH) -> DataFrame:
-    """Occurrences and documents of each term in each group, in parts, one row per task or more.
-
-    Rows are sorted by term, so that equal texts lie together in storage.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-        def handed_on() -> Iterator[pa.RecordBatch]:
-            rows = sorted(
-                (term, group, n, docs[term])
-                for group, (counts, docs) in held.items()
-                for term, n in counts.items()
-            )
-            held.clear()
-            for start in range(0, len(rows), 50_000):
-                part = rows[start : start + 50_000]
-                digests, last, value = [], None, 0
-                for term, *_ in part:
-                    if term != last:
-                        last, value = term, digest_of(term, width)
-                    digests.append(value)
+class Held:
+    """Counts of a task: for each group its terms, for each language in how many documents."""
+
+    def __init__(self) -> None:
+        self.counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
+        self.docs: dict[str, Counter] = defaultdict(Counter)
+        self.size = 0
+
+    def add(self, lang: str, source: str, text: str) -> None:
+        terms = text.encode().translate(TERM_BYTES).split()
+        counts = self.counts[lang][source]
+        before = len(counts)
+        counts.update(terms)
+        self.docs[lang].update(set(terms))
+        self.size += len(counts) - before
+
+    def rows(self, width: int) -> Iterator[pa.RecordBatch]:
+        """A row per language and term.  Sorted, since texts alike lie well together in storage."""
+        for lang, groups in self.counts.items():
+            of_term: dict[bytes, list] = {}
+            for source, counts in groups.items():
+                for term, n in counts.items():
+                    of_term.setdefault(term, []).append((source, n))
+            terms, docs = sorted(of_term), self.docs[lang]
+            for start in range(0, len(terms), 50_000):
+                part = terms[start : start + 50_000]
+                cells = [of_term[term] for term in part]
+                ends = pa.array(np.cumsum([0, *map(len, cells)]), type=pa.int32())
+                flat = [cell for own in cells for cell in own]
+                lists = (
+                    pa.ListArray.from_arrays(ends, pa.array([cell[i] for cell in flat], type=kind))
+                    for i, kind in enumerate((pa.string(), pa.int64()))
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([r[1][0] for r in part], type=pa.string()),
-                        pa.array([r[1][1] for r in part], type=pa.string()),
-                        pa.array(digests, type=pa.int64()),
-                        pa.array([r[0] for r in part], type=pa.binary()).cast(pa.string()),
-                        pa.array([r[2] for r in part], type=pa.int64()),
-                        pa.array([r[3] for r in part], type=pa.int64()),
+                        pa.array([lang] * len(part), type=pa.string()),
+                        pa.array([digest_of(term, width) for term in part], type=pa.int64()),
+                        pa.array(part, type=pa.binary()).cast(pa.string()),
+                        pa.array([docs[term] for term in part], type=pa.int64()),
+                        pa.array([sum(n for _, n in own) for own in cells], type=pa.int64()),
+                        *lists,
                     ],
-                    names=[part.split()[0] for part in COUNTED.split(", ")],
+                    names=["lang", "digest", "term", "docs", "occurrences", "sources", "counts"],
                 )
 
-        size = 0
+
+def counted(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Of each task, or part of one: documents and occurrences per language and term, and the
+    occurrences in each source."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Held()
         for batch in batches:
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ("lang", "source", "text")]
             for lang, source, text in zip(*columns, strict=True):
-                terms = text.as_py().encode().translate(TERM_BYTES).split()
-                counts, docs = held.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
-                before = len(counts)
-                counts.update(terms)
-                docs.update(set(terms))
-                size += len(counts) - before
-                if size > HELD:
-                    yield from handed_on()
-                    size = 0
-        yield from handed_on()
+                held.add(lang.as_py(), source.as_py(), text.as_py())
+                if held.size > HELD:
+                    yield from held.rows(width)
+                    held = Held()
+        yield from held.rows(width)
 
-    rows = docs.select("lang", "source", F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, COUNTED)
+    return docs.select("lang", "source", "text").mapInArrow(run, COUNTED)
 
 
-def split_digests(stored: DataFrame) -> DataFrame:
-    """Texts that share a digest: digest, term and ``part``, a number from 1 for each text.
+def summed(rows: DataFrame, term: list[str], least_docs: int) -> DataFrame:
+    """Per group and kept term the occurrences ``n``, and ``total`` in the language.
+
+    One shuffle by language and term, of digests and numbers: what follows stays in place.
+    """
+    place = Window.partitionBy("lang", *term)
+    whole = rows.withColumns({"total": F.sum("occurrences").over(place), "all_docs": F.sum("docs").over(place)})
+    cells = F.inline(F.arrays_zip("sources", "counts"))
+    kept = whole.filter(F.col("all_docs") >= least_docs).select("lang", *term, "total", cells)
+    groups = kept.groupBy("lang", *term, F.col("sources").alias("source"))
+    return groups.agg(F.sum("counts").alias("n"), F.max("total").alias("total"))
+
+
+def split_digests(stored: DataFrame, digests: DataFrame) -> DataFrame:
+    """Texts that share one of the digests: digest, term and ``part``, from 1 for each text.
 
     A digest has one text in all but a few cases, found by its smallest and greatest.
     """
-    ends = stored.groupBy("digest").agg(F.min("term").alias("first"), F.max("term").alias("last"))
+    texts = stored.select("digest", "term")
+    ends = maybe_in(texts, digests, "digest").groupBy("digest")
+    ends = ends.agg(F.min("term").alias("first"), F.max("term").alias("last"))
     shared = ends.filter(F.col("first") != F.col("last")).select("digest")
-    texts = stored.select("digest", "term").join(shared, "digest", "left_semi").distinct()
     part = F.row_number().over(Window.partitionBy("digest").orderBy("term"))
-    return texts.withColumn("part", part)
+    return texts.join(shared, "digest", "left_semi").distinct().withColumn("part", part)
+
+
+def kept_terms(stored: DataFrame, least_docs: int) -> DataFrame:
+    """Per group and kept term: lang, source, digest, part (0, or which of several texts), n, total."""
+    numbers = ["lang", "digest", "docs", "occurrences", "sources", "counts"]
+    alone = summed(stored.select(*numbers), ["digest"], least_docs).withColumn("part", F.lit(0))
+    alone = materialise(alone, "digests")
+    texts = materialise(split_digests(stored, alone.select("digest").distinct()), "split")
+    if texts.isEmpty():
+        return alone
+    parts = stored.join(texts, ["digest", "term"]).select(*numbers, "part")
+    again = summed(parts, ["digest", "part"], least_docs)
+    alone = alone.join(texts.select("digest").distinct(), "digest", "left_anti")
+    return materialise(alone.unionByName(again), "kept")
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -135,26 +177,6 @@ def distance(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
-def kept_terms(stored: DataFrame, least_docs: int) -> DataFrame:
-    """Per group and kept term: lang, source, digest, part, n, and ``total`` in the language.
-
-    Counts go through two shuffles of digests: to one row per group and term, and from
-    there to one place per language and term.
-    """
-    texts = materialise(split_digests(stored), "split")
-    numbers = ["lang", "source", "digest", "n", "docs"]
-    if texts.isEmpty():
-        rows = stored.select(*numbers, F.lit(0).alias("part"))
-    else:
-        alone = stored.select(*numbers).join(texts.select("digest").distinct(), "digest", "left_anti")
-        parts = stored.join(texts, ["digest", "term"]).select(*numbers, "part")
-        rows = alone.withColumn("part", F.lit(0)).unionByName(parts)
-    groups = rows.groupBy("lang", "source", "digest", "part").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    term = Window.partitionBy("lang", "digest", "part")
-    whole = groups.withColumns({"total": F.sum("n").over(term), "in_docs": F.sum("docs").over(term)})
-    return whole.filter(F.col("in_docs") >= least_docs).drop("docs", "in_docs")
-
-
 def _pairs(terms: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value) for each two sources of a language, in both directions.
 
@@ -236,8 +258,8 @@ def divergence(
             for c, name in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))
         )
     )
-    stored = materialise(counted(plain, text_col="text", width=width), "terms")
-    terms = materialise(kept_terms(stored, least_docs), "kept")
+    stored = materialise(counted(plain, width), "terms")
+    terms = kept_terms(stored, least_docs)
     sums = terms.groupBy("lang", "source").agg(F.sum("n").alias("n_group"))
     by_term = terms.groupBy("lang", "digest", "part").agg(F.max("total").alias("total"))
     by_lang = by_term.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("total").alias("n_lang"))
