@@ -78,28 +78,34 @@ class Held:
     def rows(self, width: int) -> Iterator[pa.RecordBatch]:
         """A row per language and term.  Sorted, since texts alike lie well together in storage."""
         for lang, groups in self.counts.items():
-            of_term: dict[bytes, list] = {}
-            for source, counts in groups.items():
-                for term, n in counts.items():
-                    of_term.setdefault(term, []).append((source, n))
-            terms, docs = sorted(of_term), self.docs[lang]
+            docs, own = self.docs[lang], list(groups.values())
+            terms = sorted(docs)
+            if not terms:
+                continue
+            place = dict(zip(terms, range(len(terms)), strict=True)).__getitem__
+            sizes = [len(counts) for counts in own]
+            at = np.concatenate([np.fromiter(map(place, c), np.int64, len(c)) for c in own])
+            n = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in own])
+            order = np.argsort(at, kind="stable")
+            ends = np.r_[0, np.cumsum(np.bincount(at, minlength=len(terms)))]
+            n = n[order]
+            sources = pa.array(list(groups), type=pa.string())
+            sources = sources.take(pa.array(np.repeat(np.arange(len(own)), sizes)[order]))
+            occurrences = np.add.reduceat(n, ends[:-1])
             for start in range(0, len(terms), 50_000):
                 part = terms[start : start + 50_000]
-                cells = [of_term[term] for term in part]
-                ends = pa.array(np.cumsum([0, *map(len, cells)]), type=pa.int32())
-                flat = [cell for own in cells for cell in own]
-                lists = (
-                    pa.ListArray.from_arrays(ends, pa.array([cell[i] for cell in flat], type=kind))
-                    for i, kind in enumerate((pa.string(), pa.int64()))
-                )
+                stop = start + len(part)
+                cells = slice(int(ends[start]), int(ends[stop]))
+                inside = pa.array(ends[start : stop + 1] - ends[start], type=pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([lang] * len(part), type=pa.string()),
                         pa.array([digest_of(term, width) for term in part], type=pa.int64()),
                         pa.array(part, type=pa.binary()).cast(pa.string()),
                         pa.array([docs[term] for term in part], type=pa.int64()),
-                        pa.array([sum(n for _, n in own) for own in cells], type=pa.int64()),
-                        *lists,
+                        pa.array(occurrences[start:stop]),
+                        pa.ListArray.from_arrays(inside, sources[cells]),
+                        pa.ListArray.from_arrays(inside, pa.array(n[cells])),
                     ],
                     names=["lang", "digest", "term", "docs", "occurrences", "sources", "counts"],
                 )
