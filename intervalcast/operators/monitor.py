@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import or_unknown, seconds_between
@@ -322,6 +322,61 @@ def live_series(
     return latest.select(F.col("_w.end").alias("scraped_at"), *labels, "latest")
 
 
+def filled_series(
+    records: DataFrame,
+    *,
+    ts: str,
+    labels: Sequence[str],
+    value: str,
+    arrival: str,
+    every: int = 5,
+    span: int = 86_400,
+) -> DataFrame:
+    """Latest value per label set at every scrape, from its first record to the last scrape.
+
+    A scrape without new records shows the value before it, as a gauge does.  Time is cut
+    into ranges of ``span`` seconds: a range is filled by itself, from the last value before
+    it, which comes from a table with a row per label set and range.  So a label set is
+    spread over as many tasks as it has ranges, and what is ordered in one place is bounded
+    by the scrapes of a range.
+    """
+    if every < 1 or span % every:
+        raise ValueError("the span of a range must be a multiple of the scrape interval")
+    step, day = F.make_dt_interval(secs=F.lit(every)), F.make_dt_interval(secs=F.lit(span))
+    range_of = F.window(F.col("scraped_at"), _seconds(span)).start
+    cells = live_series(records, ts=ts, labels=labels, value=value, arrival=arrival, every=every)
+    cells = cells.withColumn("_range", range_of)
+    end = F.broadcast(cells.agg(F.max("scraped_at").alias("_end")))
+    last = F.max_by("latest", "scraped_at").alias("_last")
+    ends = cells.groupBy(*labels, "_range").agg(last)
+    # From each range with records to the next one, or to the end: what is carried into them.
+    ahead = F.lead("_range").over(Window.partitionBy(*labels).orderBy("_range"))
+    upto = F.coalesce(F.col("_next"), F.window(F.col("_end"), _seconds(span)).start)
+    carried = (
+        ends.withColumn("_next", ahead)
+        .crossJoin(end)
+        .withColumn("_upto", upto)
+        .filter(F.col("_upto") > F.col("_range"))
+        .select(
+            *labels,
+            F.explode(F.sequence(F.col("_range") + day, "_upto", day)).alias("_range"),
+            F.col("_last").alias("latest"),
+        )
+        .withColumn("scraped_at", F.col("_range"))
+    )
+    # Of a carried value and a record of the same scrape the record counts.
+    both = cells.withColumn("_own", F.lit(1)).unionByName(carried.withColumn("_own", F.lit(0)))
+    inside = Window.partitionBy(*labels, "_range").orderBy("scraped_at", "_own")
+    stop = F.least(F.col("_range") + day, F.col("_end") + step)
+    until = F.coalesce(F.lead("scraped_at").over(inside), F.col("_stop"))
+    rows = both.crossJoin(end).withColumn("_stop", stop).withColumn("_until", until)
+    return rows.filter(F.col("_until") > F.col("scraped_at")).select(
+        F.explode(F.sequence(F.col("scraped_at"), F.col("_until") - step, step)).alias("scraped_at"),
+        *labels,
+        "latest",
+    )
+
+
 def freshness(lag: Column) -> Column:
     """green, yellow or red by the lag in seconds."""
     slow = F.when(lag >= LAG_RED, "red").when(lag >= LAG_YELLOW, "yellow")

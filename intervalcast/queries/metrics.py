@@ -154,6 +154,30 @@ def metric_live(spark, sf_dir):
     )
 
 
+@query(
+    f"""WITH c AS (
+          SELECT time_bucket(INTERVAL '30 minutes', ts, TIMESTAMP '1970-01-01') + INTERVAL '30 minutes'
+                   AS seen,
+                 meter_type, coalesce(site_id, 'unknown') AS site_id, arg_max(value, event_id) AS latest
+          FROM ({RECORDS_SQL}) GROUP BY ALL),
+        s AS (SELECT unnest(generate_series(min(seen), max(seen), INTERVAL '30 minutes')) AS scraped_at FROM c),
+        l AS (SELECT DISTINCT meter_type, site_id FROM c)
+        SELECT scraped_at, p.meter_type, p.site_id, latest
+        FROM (SELECT * FROM s, l) p
+        ASOF JOIN c ON c.meter_type = p.meter_type AND c.site_id = p.site_id AND p.scraped_at >= c.seen"""
+)
+def metric_live_filled(spark, sf_dir):
+    """The gauges at every scrape, half an hour apart, also those without new records."""
+    return monitor.filled_series(
+        records(spark, sf_dir),
+        ts="ts",
+        labels=["meter_type", "site_id"],
+        value="value",
+        arrival="event_id",
+        every=1800,
+    )
+
+
 @query(
     """WITH p AS (SELECT time_bucket(INTERVAL '1 minute', ts, TIMESTAMP '1970-01-01')
                            + INTERVAL '1 minute' AS e, count(*) AS n FROM events GROUP BY 1),

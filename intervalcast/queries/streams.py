@@ -14,7 +14,8 @@ from ..sources.bus import Bus
 from ..sources.scratch import new_folder
 from ..sources.sinks import append_parquet, memory_table, overwrite_parquet
 from ..sources.tables import read_parquet, stream_parquet
-from ..streaming.runner import finish, progress_table
+from ..streaming.progress import ProgressLog, runs
+from ..streaming.runner import finish
 from ..streaming.windows import flat_window, window_means, window_totals, with_event_time
 from .registry import ENTITIES_SQL, entities, floor_sql, query, readings, rounded, stream_of, table
 
@@ -247,9 +248,16 @@ def republish(spark, sf_dir):
     return rounded(bus.read(spark, "totals-stream").select(parsed).select("row.*"), total=4)
 
 
-@query("SELECT 'days' AS query, count(*) AS input_rows, 0 AS late, false AS is_active FROM events")
+@query(
+    f"""WITH c AS (SELECT {CLOSED_SQL} AS mark)
+        SELECT 'days' AS query, count(*) AS input_rows, 0 AS late, false AS is_active,
+               date_trunc('milliseconds', any_value(mark)) AS watermark,
+               count(DISTINCT (date_trunc('day', ts), event_type)) FILTER (
+                 date_trunc('day', ts) + INTERVAL '1 day' > mark) AS open_totals
+        FROM events, c"""
+)
 def stream_progress(spark, sf_dir):
-    """What the micro-batches of a windowed query did, added up."""
+    """What a windowed query did, from the table of its reports, after its end."""
     folder = new_folder(spark, "progress")
     totals = window_totals(
         events_stream(spark, sf_dir),
@@ -259,10 +267,14 @@ def stream_progress(spark, sf_dir):
         value="value",
         total="total",
     )
-    done = finish(append_parquet(totals, f"{folder}/rows", f"{folder}/checkpoint", name="days"))
-    steps = progress_table(spark, [done])
-    return steps.groupBy("query").agg(
-        F.sum("input_rows").alias("input_rows"),
-        F.sum("dropped_rows").cast("int").alias("late"),
-        F.max("active").alias("is_active"),
+    with ProgressLog(spark, f"{folder}/reports", names={"days"}) as log:
+        finish(append_parquet(totals, f"{folder}/rows", f"{folder}/checkpoint", name="days"))
+        log.settle()
+    return runs(spark, f"{folder}/reports").select(
+        "query",
+        "input_rows",
+        F.col("dropped_rows").cast("int").alias("late"),
+        F.col("active").alias("is_active"),
+        "watermark",
+        F.col("state_rows").alias("open_totals"),
     )

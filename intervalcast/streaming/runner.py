@@ -50,7 +50,11 @@ def stop_all(queries: Iterable[StreamingQuery]) -> None:
 
 
 def progress_table(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """What each recent micro-batch did: rows read, rows too late, rows of state."""
+    """What each recent micro-batch did: rows read, rows too late, rows of state.
+
+    A glance at this session's queries: Spark keeps the last hundred reports of each.
+    ``progress.ProgressLog`` keeps all, as a table.
+    """
     rows = []
     for query in queries:
         for step in query.recentProgress:
