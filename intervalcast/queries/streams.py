@@ -14,6 +14,7 @@ from ..sources.bus import Bus
 from ..sources.scratch import new_folder
 from ..sources.sinks import append_parquet, memory_table, overwrite_parquet
 from ..sources.tables import read_parquet, stream_parquet
+from ..sources.upsert import read_upserted, upsert_parquet
 from ..streaming.progress import ProgressLog, runs
 from ..streaming.runner import finish
 from ..streaming.windows import flat_window, window_means, window_totals, with_event_time
@@ -152,6 +153,36 @@ def stream_window_complete(spark, sf_dir):
     return rounded(flat_window(read_parquet(spark, f"{folder}/rows", totals.schema)), total=4)
 
 
+@query(
+    f"""SELECT w AS window_start, w + INTERVAL '6 hours' AS window_end, user_id,
+               round(sum(value), 4) + 0.0 AS total
+        FROM (SELECT *, {floor_sql()} AS w FROM events) GROUP BY w, user_id"""
+)
+def stream_window_upserted(spark, sf_dir):
+    """All windows, open and closed, of a stream that arrives in two halves.
+
+    State holds the open windows only; the table is updated where totals have changed.
+    """
+    folder = new_folder(spark, "upserted")
+    events = table(spark, sf_dir, "events").select("ts", "user_id", "value")
+    first = F.col("ts") < F.lit(SPLIT_AT).cast("timestamp_ntz")
+    totals = None
+    for part in (events.filter(first), events.filter(~first)):
+        part.write.mode("append").parquet(f"{folder}/landing")
+        stream = stream_parquet(spark, f"{folder}/landing", events.schema)
+        totals = window_totals(
+            with_event_time(stream, "ts", DELAY),
+            ts="ts",
+            length="6 hours",
+            keys=["user_id"],
+            value="value",
+            total="total",
+        )
+        keys = ["window", "user_id"]
+        finish(upsert_parquet(totals, f"{folder}/rows", f"{folder}/checkpoint", keys=keys, buckets=8))
+    return rounded(flat_window(read_upserted(spark, f"{folder}/rows", totals.schema)), total=4)
+
+
 @query(
     """SELECT date_trunc('day', ts)::TIMESTAMP AS window_start,
               date_trunc('day', ts)::TIMESTAMP + INTERVAL '1 day' AS window_end, event_type,
