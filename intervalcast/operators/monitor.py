@@ -3,7 +3,8 @@
 The functions up to ``histogram`` aggregate all records and work on a batch, on a stream
 in update or complete mode, and inside ``foreachBatch``.  The rates and the live series
 are windowed: records are first counted per pane of one slide, so a sliding window adds
-up a few panes and no record is copied into every window it belongs to.
+up a few panes and no record is copied into every window it belongs to.  Rates work on a
+watermarked stream in append mode as well, with a row of state per open pane and window.
 
 Rates are records in the window divided by its length.  They are not extrapolated from
 scraped samples.
@@ -231,6 +232,13 @@ def _pane_sums(
     if slide < 1 or length % slide:
         raise ValueError("the window length must be a multiple of the slide")
     panes = records.groupBy(F.window(ts, _seconds(slide)).alias("_pane"), *by).agg(*measures)
+    if records.isStreaming:
+        # Two aggregates with state, one after the other: closed panes go into the windows they
+        # belong to, and a window comes out when the watermark has passed its end.
+        at = F.window(F.window_time("_pane"), _seconds(length), _seconds(slide))
+        sums = [F.sum(name).alias(name) for name in names]
+        windows = panes.groupBy(at.alias("_window"), *by).agg(*sums)
+        return windows.select(F.col("_window.end").alias("window_end"), *by, *names)
     step = F.make_dt_interval(secs=F.lit(slide))
     ends = F.sequence(
         F.col("_pane.end"),
@@ -277,7 +285,7 @@ def trailing_rate(
     """Records per second over the last ``length`` seconds, every ``slide`` seconds.
 
     Windows are named by their end.  With ``empty`` the windows without records are there
-    too, with rate 0; that needs ``by`` to be empty.
+    too, with rate 0; that needs ``by`` to be empty, and a table instead of a stream.
     """
     counted = _pane_sums(
         records, ts, length, slide, by, [F.count("*").alias("records")], ["records"]
@@ -285,6 +293,8 @@ def trailing_rate(
     if empty:
         if by:
             raise ValueError("empty windows can only be listed without labels")
+        if records.isStreaming:
+            raise ValueError("empty windows can only be listed for a table")
         counted = _all_ends(records, ts, length, slide).join(counted, "window_end", "left")
         counted = counted.withColumn("records", F.coalesce("records", F.lit(0).cast("bigint")))
     return counted.withColumn("rate", F.col("records") / F.lit(float(length)))

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import decade, nan_to_null
-from .quantiles import ACCURACY, around, exact_quantiles, numbers
+from .quantiles import SKETCH, around, exact_quantiles, numbers
 from .quantiles import clamped as values_of
+from .sketches import quantile_at
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -33,7 +34,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     for name in columns:
         number = nan_to_null(F.col(name).cast("double"))
         clamped = values_of(name)
-        cuts = F.percentile_approx(clamped, around(probabilities), ACCURACY)
+        sketch = F.kll_sketch_agg_double(clamped, SKETCH)
         measures.append(
             F.struct(
                 F.count(number).alias("count"),
@@ -43,10 +44,22 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.max(number).alias("max"),
                 F.min(clamped).alias("least"),
                 F.max(clamped).alias("most"),
-                cuts.alias("cuts"),
+                sketch.alias("sketch"),
             ).alias(name)
         )
-    moments = df.agg(*measures).first()
+    cuts = [
+        F.array(
+            *(
+                quantile_at(F.col(f"{name}.sketch"), F.col(f"{name}.count"), F.lit(p))
+                for p in around(probabilities)
+            )
+        )
+        for name in columns
+    ]
+    whole = df.agg(*measures)
+    moments = whole.select(
+        *(F.col(name).dropFields("sketch").withField("cuts", cut).alias(name) for name, cut in zip(columns, cuts))
+    ).first()
     extent = {n: (moments[n]["count"], moments[n]["least"], moments[n]["most"]) for n in columns}
     brackets = {n: moments[n]["cuts"] for n in columns}
     quartiles = exact_quantiles(values, extent, probabilities, brackets)

@@ -18,12 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import nan_to_null
+from .sketches import rank_error
 
 BUCKETS = 4096
 # A range with at most this many rows is listed, not narrowed further.
 FEW = 10_000
-# One part in this many is how far a sketch may err in rank.
-ACCURACY = 10_000
+# Size of the sketch that gives the first brackets.
+SKETCH = 8192
 _LARGEST = sys.float_info.max
 
 
@@ -136,25 +137,35 @@ def _pick(values: DataFrame, targets: list[_Target]) -> None:
 
 
 def around(probabilities: Sequence[float]) -> list[float]:
-    """A little below and above each probability, by more than a sketch of ACCURACY errs."""
-    margin = 3 / ACCURACY
+    """A little below and above each probability, by more than a sketch of SKETCH errs."""
+    margin = 3 * rank_error(SKETCH)
     return [q for p in probabilities for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
 
 
 def _bracketed(values: DataFrame, targets: dict, brackets: dict[str, list[float]]) -> None:
-    """One pass: ranges that a sketch gave are taken where they hold the wanted rank."""
-    ranges = sorted({(column, *brackets[column][2 * i : 2 * i + 2]) for column, i in targets})
+    """One pass: ranges that a sketch gave are taken where they hold the wanted rank.
+
+    A rank among the rows that equal an end is found at once: columns of few values need no
+    further pass.
+    """
+    ends = sorted({(column, end) for column, i in targets for end in brackets[column][2 * i : 2 * i + 2]})
     counts = []
-    for number, (column, lo, hi) in enumerate(ranges):
-        counts.append(F.count_if(F.col(column) < lo).alias(f"below{number}"))
-        counts.append(F.count_if(F.col(column).between(lo, hi)).alias(f"inside{number}"))
+    for number, (column, end) in enumerate(ends):
+        counts.append(F.count_if(F.col(column) < end).alias(f"below{number}"))
+        counts.append(F.count_if(F.col(column) <= end).alias(f"upto{number}"))
     row = values.agg(*counts).first()
     for (column, i), wanted in targets.items():
         lo, hi = brackets[column][2 * i : 2 * i + 2]
-        number = ranges.index((column, lo, hi))
-        below, inside = row[f"below{number}"], row[f"inside{number}"]
+        first, last = ends.index((column, lo)), ends.index((column, hi))
+        below, inside = row[f"below{first}"], row[f"upto{last}"] - row[f"below{first}"]
+        low, high = (row[f"upto{n}"] - row[f"below{n}"] for n in (first, last))
         for target in wanted:
-            if below <= target.rank < below + inside:
+            place = target.rank - below
+            if 0 <= place < low:
+                target.lo = target.hi = lo
+            elif inside - high <= place < inside:
+                target.lo = target.hi = hi
+            elif 0 <= place < inside:
                 target.lo, target.hi, target.below, target.rows = lo, hi, below, inside
 
 

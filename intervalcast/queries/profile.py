@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import profile
+from ..operators import profile, sketches
 from ..operators.enrich import attach
 from ..operators.outliers import sigma_bounds
 from ..operators.season import label_season, peak_months
+from ..sources.scratch import materialise
 from .intervals import PEAKS_SQL, frame, totals
 from .registry import ENTITIES_SQL, FRAME_SQL, TOTALS_SQL, entities, query, rounded, table
 
@@ -194,3 +195,30 @@ def preview(spark, sf_dir):
     shown = profile.preview(events, 20)
     met = attach(shown, events.distinct(), ["event_id", "ts", "user_id"], matched="is_there")
     return met.agg(F.count("*").alias("rows"), F.count_if("is_there").alias("in_table"))
+
+
+# Large enough to hold the test tables whole, so that quantiles can be compared as they are.
+EXACT_K = 32768
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT event_type, 'value' AS column_name, {p}::DOUBLE AS p, count(*) AS n,
+                   quantile_disc(value, {p}) AS value
+            FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22'
+            GROUP BY event_type"""
+        for p in (0.25, 0.5, 0.95)
+    )
+)
+def day_quantiles(spark, sf_dir):
+    """Quantiles of two weeks, merged from sketches stored per day and type."""
+    events = table(spark, sf_dir, "events")
+    stored = materialise(
+        sketches.sketches(events, ["value"], ts="ts", by=["event_type"], k=EXACT_K), "sketches"
+    )
+    days = stored.filter(
+        (F.col("period_start") >= F.lit("2024-01-08").cast("timestamp_ntz"))
+        & (F.col("period_start") < F.lit("2024-01-22").cast("timestamp_ntz"))
+    )
+    weeks = sketches.merged(days, ["event_type"], EXACT_K)
+    return sketches.quantiles(weeks, [0.25, 0.5, 0.95])

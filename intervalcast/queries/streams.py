@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.enrich import attach, fan_out
+from ..operators.monitor import BOUNDS, bound_name, bucket_rate, trailing_rate
 from ..operators.resample import interval_sum
+from ..operators.sketches import lag_sketches, merged, quantiles
 from ..plans.serve import republish as republish_plan
 from ..schemas import table as schema
 from ..settings import METER_TYPES
@@ -18,6 +20,7 @@ from ..sources.upsert import read_upserted, upsert_parquet
 from ..streaming.progress import ProgressLog, runs
 from ..streaming.runner import finish
 from ..streaming.windows import flat_window, window_means, window_totals, with_event_time
+from .profile import EXACT_K
 from .registry import ENTITIES_SQL, entities, floor_sql, query, readings, rounded, stream_of, table
 
 DELAY = "10 minutes"
@@ -309,3 +312,62 @@ def stream_progress(spark, sf_dir):
         "watermark",
         F.col("state_rows").alias("open_totals"),
     )
+
+
+@query(
+    f"""SELECT e AS window_end, event_type, count(*) AS records, round(count(*) / 300.0, 6) AS rate
+        FROM (SELECT event_type, unnest(generate_series(0, 4)) AS i,
+                     time_bucket(INTERVAL '1 minute', ts, TIMESTAMP '1970-01-01')
+                       + INTERVAL '1 minute' + i * INTERVAL '1 minute' AS e
+              FROM events)
+        GROUP BY ALL HAVING e <= {CLOSED_SQL}"""
+)
+def stream_rate(spark, sf_dir):
+    """Records per second over five minutes, every minute, as windows close."""
+    rates = trailing_rate(
+        events_stream(spark, sf_dir), ts="ts", length=300, slide=60, by=["event_type"]
+    )
+    return rounded(stored(spark, rates, "rates"), rate=6)
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT e AS window_end, '{le}' AS le,
+                   round(count(*) FILTER (value <= {'1e308' if le == '+Inf' else le}) / 300.0, 6) AS rate
+            FROM (SELECT value, unnest(generate_series(0, 4)) AS i,
+                         time_bucket(INTERVAL '1 minute', ts, TIMESTAMP '1970-01-01')
+                           + INTERVAL '1 minute' + i * INTERVAL '1 minute' AS e
+                  FROM events)
+            GROUP BY 1 HAVING e <= {CLOSED_SQL}"""
+        for le in [*map(bound_name, BOUNDS), "+Inf"]
+    )
+)
+def stream_bucket_rate(spark, sf_dir):
+    """Rate of each histogram bucket over five minutes, every minute, as windows close."""
+    rates = bucket_rate(
+        events_stream(spark, sf_dir), ts="ts", value="value", length=300, slide=60
+    )
+    return rounded(stored(spark, rates, "bucket-rates"), rate=6)
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT 'lag_seconds' AS column_name, {p}::DOUBLE AS p, count(*) AS n,
+                   round(quantile_disc(abs(value) + 0.5, {p}), 3) AS value
+            FROM events WHERE date_trunc('day', ts) + INTERVAL '1 day' <= {CLOSED_SQL}"""
+        for p in (0.5, 0.95)
+    )
+)
+def stream_lag_quantiles(spark, sf_dir):
+    """Median and 95th percentile of the lag, from daily sketches of a stream as days close.
+
+    Events arrive as many seconds late as their value says, and half a second.
+    """
+    micros = F.round((F.abs("value") + 0.5) * 1_000_000).cast("bigint")
+    arrival = F.timestamp_micros(F.unix_micros("ts") + micros)
+    events = events_stream(spark, sf_dir).select("ts", arrival.alias("arrived_at"))
+    days = stored(
+        spark, lag_sketches(events, event_time="ts", arrival="arrived_at", k=EXACT_K), "lags"
+    )
+    found = quantiles(merged(days, k=EXACT_K), [0.5, 0.95])
+    return rounded(found, value=3)

@@ -17,6 +17,7 @@ ONE_ROW = {
     "impute_mean",
     "metric_count",
     "metric_lag",
+    "metric_live_filled",
     "metric_throughput",
     "null_counts",
     "preview",
@@ -33,6 +34,7 @@ RUNS_AT_ONCE = {
     "tune_gbt",
     "score_batch",
     "stream_progress",
+    "day_quantiles",
     "numeric_summary",
     "numeric_summary_infinite",
 }
