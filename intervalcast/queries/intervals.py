@@ -17,6 +17,7 @@ from ..operators.resample import (
 )
 from ..operators.season import label_season, peak_months
 from ..settings import METER_TYPES
+from ..sources.colocated import by_site_and_interval, frame_in_place
 from .registry import (
     ENTITIES_SQL,
     FEED_SQL,
@@ -256,6 +257,32 @@ def training_frame(spark, sf_dir):
     )
 
 
+@query(FRAME_SQL.replace("t.*", "t.user_id, t.event_type, t.interval_start, round(t.total, 4) + 0.0 AS total").replace("f.condition", "round(f.condition, 7) + 0.0 AS condition"))
+def frame_colocated(spark, sf_dir):
+    """The labelled rows from tables stored by site and interval: joined without a shuffle."""
+    stored, conditions_stored = by_site_and_interval(
+        readings(spark, sf_dir),
+        entities(spark, sf_dir),
+        conditions(spark, sf_dir).drop("angle"),
+        entity="user_id",
+        site="site_id",
+        ts="ts",
+        buckets=8,
+    )
+    framed = frame_in_place(
+        stored,
+        conditions_stored,
+        entity="user_id",
+        category="event_type",
+        site="site_id",
+        value="value",
+        total="total",
+        attributes=["segment", "area"],
+        means=["condition"],
+    )
+    return rounded(framed, total=4, condition=7)
+
+
 @query(
     """SELECT c_custkey, m.meter_type
        FROM customer CROSS JOIN (VALUES ('c'), ('e'), ('h'), ('s')) m(meter_type)"""

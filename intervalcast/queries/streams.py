@@ -17,6 +17,7 @@ from ..sources.scratch import new_folder
 from ..sources.sinks import append_parquet, memory_table, overwrite_parquet
 from ..sources.tables import read_parquet, stream_parquet
 from ..sources.upsert import read_upserted, upsert_parquet
+from ..streaming.late import corrected, start_corrected_totals, total_schema
 from ..streaming.progress import ProgressLog, runs
 from ..streaming.runner import finish
 from ..streaming.windows import flat_window, window_means, window_totals, with_event_time
@@ -245,6 +246,44 @@ def stream_late(spark, sf_dir):
     return rounded(flat_window(rows), total=4)
 
 
+@query(
+    f"""WITH e AS (SELECT *, {floor_sql()} AS w,
+                          ts < TIMESTAMP '{SPLIT_AT}' AND event_id % 10 <> 0 AS in_time FROM events),
+             m AS (SELECT max(ts) - INTERVAL '10 minutes' AS mark FROM e WHERE in_time),
+             l AS (SELECT *, NOT in_time AND w + INTERVAL '6 hours' <= mark AS late FROM e, m)
+        SELECT w AS window_start, w + INTERVAL '6 hours' AS window_end, event_type,
+               round(sum(value), 4) + 0.0 AS total,
+               round(coalesce(sum(value) FILTER (late), 0), 4) + 0.0 AS late_total,
+               count(*) AS records, count(*) FILTER (late) AS late_records
+        FROM l GROUP BY w, event_type"""
+)
+def stream_corrected(spark, sf_dir):
+    """The arrivals of ``stream_late``, with what missed its window kept and added up."""
+    folder = new_folder(spark, "corrected")
+    events = table(spark, sf_dir, "events")
+    in_time = (F.col("ts") < F.lit(SPLIT_AT).cast("timestamp_ntz")) & (F.col("event_id") % 10 != 0)
+    names = {"keys": ["event_type"], "total": "total"}
+    for part in (events.filter(in_time), events.filter(~in_time)):
+        part.write.mode("append").parquet(f"{folder}/landing")
+        stream = stream_parquet(spark, f"{folder}/landing", events.schema)
+        finish(
+            start_corrected_totals(
+                stream,
+                f"{folder}/totals",
+                f"{folder}/checkpoint",
+                ts="ts",
+                delay=DELAY,
+                length="6 hours",
+                value="value",
+                buckets=4,
+                **names,
+            )
+        )
+    shape = total_schema(events, "ts", **names)
+    found = flat_window(corrected(spark, f"{folder}/totals", shape, **names))
+    return rounded(found, total=4, late_total=4)
+
+
 TOTAL = schema(
     user_id=T.LongType(),
     event_type=T.StringType(),
