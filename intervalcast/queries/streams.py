@@ -12,7 +12,7 @@ from ..operators.sketches import lag_sketches, merged, quantiles
 from ..plans.serve import republish as republish_plan
 from ..schemas import table as schema
 from ..settings import METER_TYPES
-from ..sources.bus import Bus
+from ..sources.bus import Bus, encode
 from ..sources.scratch import new_folder
 from ..sources.sinks import append_parquet, memory_table, overwrite_parquet
 from ..sources.tables import read_parquet, stream_parquet
@@ -321,6 +321,42 @@ def republish(spark, sf_dir):
     return rounded(bus.read(spark, "totals-stream").select(parsed).select("row.*"), total=4)
 
 
+@query(
+    f"""SELECT part, user_id, event_type, value
+        FROM (SELECT *, 'latest' AS part FROM events WHERE ts >= TIMESTAMP '{SPLIT_AT}'
+              UNION ALL SELECT *, 'earliest' FROM events
+              UNION ALL SELECT *, 'restarted' FROM events WHERE ts >= TIMESTAMP '{SPLIT_AT}')"""
+)
+def bus_positions(spark, sf_dir):
+    """Readers of a files topic that begin at its start, at its end, and go on where they began.
+
+    The topic is sent in two halves.  One reader begins between them and is run twice.
+    """
+    folder = new_folder(spark, "positions")
+    bus = Bus("files", folder)
+    events = table(spark, sf_dir, "events")
+    first = F.col("ts") < F.lit(SPLIT_AT).cast("timestamp_ntz")
+    records = lambda rows: encode(rows.select("user_id", "event_type", "value"))
+    parts = []
+
+    def read(part, starting, reader, checkpoint):
+        stream = bus.subscribe(spark, "readings", starting=starting, reader=reader)
+        rows = f"{folder}/_rows/{part}"
+        finish(append_parquet(stream, rows, f"{folder}/_checkpoints/{checkpoint}"))
+        return read_parquet(spark, rows, stream.schema).withColumn("part", F.lit(part))
+
+    bus.send(records(events.filter(first)), "readings")
+    read("latest", "latest", "a", "a")
+    bus.send(records(events.filter(~first)), "readings")
+    parts.append(read("latest", "latest", "a", "a"))
+    parts.append(read("earliest", "earliest", "c", "c"))
+    # A new checkpoint of the same reader: it begins where it first began.
+    parts.append(read("restarted", "earliest", "a", "a-again"))
+    shape = "user_id BIGINT, event_type STRING, value DOUBLE"
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.select("part", F.from_json("value", shape).alias("r")).select("part", "r.*")
+
+
 @query(
     f"""WITH c AS (SELECT {CLOSED_SQL} AS mark)
         SELECT 'days' AS query, count(*) AS input_rows, 0 AS late, false AS is_active,

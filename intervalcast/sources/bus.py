@@ -2,12 +2,17 @@
 
 ``Bus("kafka", ...)`` needs the Kafka connector on the class path.  ``Bus("files", ...)``
 keeps each topic as a folder of Parquet files with the same two columns and the time and
-number of sending, for systems without a broker and for replays.  Both deliver at least once: a writer that is restarted
-in the middle of a batch may send it again.
+number of sending, for systems without a broker and for replays.  A reader of a files topic
+may have a name; its starting position is then stored beside the topics.
+
+Kafka delivers at least once.  A files topic takes a batch that was sent whole once: a
+restarted writer finds its folder finished and leaves it.  A writer that is lost while the
+files of a batch are moved into place sends the batch again.
 """
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from dataclasses import dataclass
 from typing import Literal
@@ -18,6 +23,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import row_json
 from ..schemas import BUS_RECORD, STORED_RECORD
+from .tables import exists
+
+POSITIONS = "_positions"  # beside the topics of a files bus
+BEFORE_ALL = "1970-01-01 00:00:00"
 
 
 @dataclass(frozen=True)
@@ -36,13 +45,17 @@ class Bus:
         topic: str,
         *,
         starting: str = "latest",
+        reader: str | None = None,
         files_per_trigger: int | None = None,
         arrival: bool = False,
     ) -> DataFrame:
         """The topic as a stream of (key, value) text, on request with ``arrival``.
 
         ``arrival`` is a number that orders the records as the bus received them.
-        ``starting`` applies to the first start of a Kafka query; a folder is read from its
+        ``starting`` (``latest``, ``earliest``, or on files a time of sending after which to
+        begin) applies to the first start.  On files that is the first start of ``reader``:
+        where it began is kept, so that a restart with the same checkpoint goes on, and one
+        with a new checkpoint begins there again.  Without a name a folder is read from its
         beginning.
         """
         if self.kind == "kafka":
@@ -54,13 +67,44 @@ class Bus:
                 .load()
             )
             return decode(raw, arrival=arrival)
-        reader = spark.readStream.schema(STORED_RECORD).option("recursiveFileLookup", True)
+        source = spark.readStream.schema(STORED_RECORD).option("recursiveFileLookup", True)
         if files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-        raw = reader.parquet(self._topic_folder(topic))
+            source = source.option("maxFilesPerTrigger", files_per_trigger)
+        raw = source.parquet(self._topic_folder(topic))
+        if reader is not None:
+            since = self.position(spark, topic, reader)
+            if since is None:
+                since = self.reposition(spark, topic, reader, starting)
+            # Pushed down to the files: those sent before are not decoded.
+            raw = raw.filter(F.col("sent_at") > F.lit(since))
         order = [arrival_of(F.col("sent_at"), F.col("sent_no")).alias("arrival")] if arrival else []
         return raw.select("key", "value", *order)
 
+    def _position_folder(self, topic: str, reader: str) -> str:
+        return f"{self.address.rstrip('/')}/{POSITIONS}/{topic}/{reader}"
+
+    def position(self, spark: SparkSession, topic: str, reader: str) -> datetime.datetime | None:
+        """The time of sending after which a reader of a files topic began."""
+        folder = self._position_folder(topic, reader)
+        if not exists(spark, f"{folder}/_SUCCESS"):
+            return None
+        return spark.read.schema("since TIMESTAMP").parquet(folder).first().since
+
+    def reposition(
+        self, spark: SparkSession, topic: str, reader: str, starting: str = "latest"
+    ) -> datetime.datetime:
+        """Let a reader of a files topic begin elsewhere; its query needs a new checkpoint."""
+        if starting == "latest":
+            sent = spark.read.schema(STORED_RECORD).option("recursiveFileLookup", True)
+            since = sent.parquet(self._topic_folder(topic)).agg(F.max("sent_at").alias("since"))
+        else:
+            text = BEFORE_ALL if starting == "earliest" else starting
+            since = spark.range(1).select(F.lit(text).cast("timestamp").alias("since"))
+        since = since.select(F.coalesce("since", F.lit(BEFORE_ALL).cast("timestamp")).alias("since"))
+        folder = self._position_folder(topic, reader)
+        since.coalesce(1).write.mode("overwrite").parquet(folder)
+        return self.position(spark, topic, reader)
+
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         """Everything in the topic so far, as a table."""
         if self.kind == "kafka":
@@ -113,7 +157,9 @@ class Bus:
             folder = f"{self._topic_folder(topic)}/{sender}"
 
             def send(batch: DataFrame, number: int) -> None:
-                stamped(batch).write.mode("overwrite").parquet(f"{folder}-{number}")
+                # A batch that is run again after it was sent whole is there already.
+                if not exists(batch.sparkSession, f"{folder}-{number}/_SUCCESS"):
+                    stamped(batch).write.mode("overwrite").parquet(f"{folder}-{number}")
 
             writer = writer.foreachBatch(send)
         return writer.start()

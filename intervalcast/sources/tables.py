@@ -34,6 +34,12 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def stream_parquet(
     spark: SparkSession, path: str, schema: T.StructType, *, files_per_trigger: int | None = None
 ) -> DataFrame:
