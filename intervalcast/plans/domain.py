@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.enrich import attach
 from ..operators.features import add_interval_features, add_size_features
@@ -10,7 +13,7 @@ from ..operators.preprocess import FeatureSpec
 from ..operators.resample import interval_mean, interval_sum
 from ..schemas import BUILDINGS, CONDITION_COLS, METERS, WEATHER
 from ..settings import Settings
-from ..sources.tables import read_csv
+from ..sources.tables import read_csv, rejected_lines, screened_csv
 
 # The names and the order of the model's inputs.
 FEATURES = FeatureSpec(
@@ -72,6 +75,30 @@ def load_weather(spark: SparkSession, settings: Settings) -> DataFrame:
     return read_csv(spark, settings.paths.weather, WEATHER)
 
 
+def screen_inputs(spark: SparkSession, settings: Settings, quarantine: str) -> DataFrame:
+    """Rows per input file that were accepted and rejected; the lines of the latter are kept.
+
+    The loads above take what can be read of a line; this says what could not.
+    """
+    paths = settings.paths
+    counts = []
+    for name, path, schema in (
+        ("meters", paths.meters, METERS),
+        ("buildings", paths.buildings, BUILDINGS),
+        ("weather", paths.weather, WEATHER),
+    ):
+        screened = screened_csv(spark, path, schema)
+        rejected_lines(screened).write.mode("overwrite").parquet(f"{quarantine}/input={name}")
+        counts.append(
+            screened.agg(
+                F.lit(name).alias("input"),
+                F.count_if(F.col("reject").isNull()).alias("accepted"),
+                F.count_if(F.col("reject").isNotNull()).alias("rejected"),
+            )
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
 def aggregate_meters(meters: DataFrame) -> DataFrame:
     return interval_sum(
         meters,

@@ -20,7 +20,14 @@ from ..schemas import DOUBLE, METERS, STRING, TIME, WEATHER, table as schema
 from ..sources.bus import Bus, decode, encode
 from ..sources.scratch import new_folder
 from ..sources.sinks import append_parquet
-from ..sources.tables import csv_to_parquet, read_csv, read_parquet
+from ..sources.tables import (
+    accepted_rows,
+    csv_to_parquet,
+    read_csv,
+    read_parquet,
+    rejected_lines,
+    screened_csv,
+)
 from ..streaming.runner import finish
 from ..streaming.scoring import events_from_bus
 from .registry import entities, floor_sql, query, rounded, table
@@ -184,6 +191,47 @@ def _csv(df, spark, name):
     return folder
 
 
+@query(
+    """SELECT event_id % 10 NOT IN (2, 3, 7) AS accepted,
+              CASE WHEN event_id % 10 NOT IN (2, 3, 7) THEN event_id END AS row_id,
+              CASE WHEN event_id % 10 NOT IN (2, 3, 5, 7) THEN event_type END AS meter_type,
+              CASE event_id % 10 WHEN 2 THEN concat_ws(',', event_id, event_type, 'abc')
+                   WHEN 3 THEN concat_ws(',', event_id, event_type, '1.5', 'more')
+                   WHEN 7 THEN event_id::VARCHAR END AS line,
+              CASE event_id % 10 WHEN 2 THEN 'value' WHEN 3 THEN '' WHEN 7 THEN 'meter_type,value' END
+                AS empty
+       FROM events"""
+)
+def csv_rejects(spark, sf_dir):
+    """All lines of a file: rows of the schema, and lines with a bad, a missing or one more cell.
+
+    Of every ten lines three are damaged and one has an empty cell, which is none of these.
+    """
+    kind = F.col("event_id") % 10
+    line = (
+        F.when(kind == 2, F.concat_ws(",", "event_id", "event_type", F.lit("abc")))
+        .when(kind == 3, F.concat_ws(",", "event_id", "event_type", F.lit("1.5"), F.lit("more")))
+        .when(kind == 7, F.col("event_id").cast("string"))
+        .when(kind == 5, F.concat_ws(",", "event_id", F.lit(""), "value"))
+        .otherwise(F.concat_ws(",", "event_id", "event_type", "value"))
+    )
+    folder = new_folder(spark, "damaged")
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(folder)
+    shape = schema(row_id=T.LongType(), meter_type=STRING, value=DOUBLE)
+    rows = screened_csv(spark, folder, shape, header=False)
+    sound = accepted_rows(rows).select(
+        F.lit(True).alias("accepted"), "row_id", "meter_type", *[F.lit(None).cast("string").alias(c) for c in ("line", "empty")]
+    )
+    bad = rejected_lines(rows).select(
+        F.lit(False).alias("accepted"),
+        F.lit(None).cast("bigint").alias("row_id"),
+        F.lit(None).cast("string").alias("meter_type"),
+        "line",
+        F.array_join("empty", ",").alias("empty"),
+    )
+    return sound.unionByName(bad)
+
+
 @query(
     f"""SELECT CAST(user_id AS INTEGER) AS building_id, event_type AS meter_type,
                {floor_sql()} AS interval_start, round(sum(value), 4) + 0.0 AS total

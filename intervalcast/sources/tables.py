@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -11,6 +12,43 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+BROKEN = "_broken"
+
+
+def screened_csv(
+    spark: SparkSession, path: str, schema: T.StructType, *, header: bool = True
+) -> DataFrame:
+    """Every line of a CSV: with ``reject`` null for a row of the schema.
+
+    A line whose cells do not fit the types, or that has too few or too many, keeps the cells
+    that could be read and has in ``reject`` its text, the file, the start of the file's
+    block it lies in and the columns left empty.  Empty cells of a sound line are nulls.
+    """
+    shape = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    reader = spark.read.schema(shape).option("header", header).option("mode", "PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", BROKEN).csv(path)
+    empty = F.filter(
+        F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in schema.names]), lambda c: c.isNotNull()
+    )
+    reject = F.struct(
+        F.col(BROKEN).alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        empty.alias("empty"),
+    )
+    # All columns are part of the test, so that no cell goes unread, whatever is selected later.
+    broken = F.col(BROKEN).isNotNull() & (F.size(empty) >= 0)
+    return rows.withColumn("reject", F.when(broken, reject)).drop(BROKEN)
+
+
+def accepted_rows(screened: DataFrame) -> DataFrame:
+    return screened.filter(F.col("reject").isNull()).drop("reject")
+
+
+def rejected_lines(screened: DataFrame) -> DataFrame:
+    return screened.filter(F.col("reject").isNotNull()).select("reject.*")
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
