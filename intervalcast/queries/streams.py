@@ -18,6 +18,7 @@ from ..sources.sinks import append_parquet, memory_table, overwrite_parquet
 from ..sources.tables import read_parquet, stream_parquet
 from ..sources.upsert import read_upserted, upsert_parquet
 from ..streaming.late import corrected, start_corrected_totals, total_schema
+from ..streaming.numbering import numbered_rows, start_numbering
 from ..streaming.progress import ProgressLog, runs
 from ..streaming.runner import finish
 from ..streaming.windows import flat_window, window_means, window_totals, with_event_time
@@ -446,3 +447,21 @@ def stream_lag_quantiles(spark, sf_dir):
     )
     found = quantiles(merged(days, k=EXACT_K), [0.5, 0.95])
     return rounded(found, value=3)
+
+
+@query(
+    f"""SELECT event_id, row_number() OVER (ORDER BY ts >= TIMESTAMP '{SPLIT_AT}', ts, event_id) - 1
+                 AS position
+        FROM events"""
+)
+def stream_positions(spark, sf_dir):
+    """Places in time order, handed on from one half of the events to the next."""
+    folder = new_folder(spark, "numbered")
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    first = F.col("ts") < F.lit(SPLIT_AT).cast("timestamp_ntz")
+    for part in (events.filter(first), events.filter(~first)):
+        part.write.mode("append").parquet(f"{folder}/landing")
+        stream = stream_parquet(spark, f"{folder}/landing", events.schema)
+        order = ["ts", "event_id"]
+        finish(start_numbering(stream, f"{folder}/out", f"{folder}/checkpoint", order_by=order))
+    return numbered_rows(spark, f"{folder}/out", events.schema).drop("ts")
