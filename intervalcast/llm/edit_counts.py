@@ -12,17 +12,17 @@ end are clipped to it, and a null list is none.  Null text counts as empty.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 import public_tokenizers
 import tiktoken
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import RANK_FILE, SAFE, encoding, pieces
 from .common import appended, fresh
-from .pii import spans_of
 
 LEAF = 512  # characters of a leaf, about
 
@@ -120,7 +120,7 @@ class Counted:
 
 def recounted(
     docs: DataFrame,
-    edits_col: str = "edits",
+    edits: str | Callable[[str], list[Edit]] = "edits",
     *,
     text_col: str = "text",
     rank_path: str | None = None,
@@ -128,34 +128,40 @@ def recounted(
 ) -> DataFrame:
     """The rows with tokens before and after their edits, and what was encoded again.
 
-    Edits are arrays of (start, end, text).
+    Edits are a column of arrays of (start, end, text), or what a function finds in a text.
     """
     path = rank_path or public_tokenizers.path(RANK_FILE)
-    both = fresh(docs, "__both")
 
-    def compute(rows: list[dict]) -> list:
+    def counts(rows: list[tuple[str, list[Edit]]]) -> list:
         encoder, _ = encoding(path, pattern)
         out = []
-        for row in rows:
-            counted = Counted(row["text"] or "", encoder)
+        for text, own in rows:
+            counted = Counted(text, encoder)
             before = counted.tokens.total()
-            edits = [(e["start"], e["end"], e["text"] or "") for e in row["edits"] or () if e is not None]
-            counted.edit(edits)
-            out.append((before, len(edits), counted.tokens.total(), counted.chars.total(), counted.encoded))
+            counted.edit(own)
+            out.append((before, len(own), counted.tokens.total(), counted.chars.total(), counted.encoded))
         return list(zip(*out, strict=True)) or [[]] * 5
 
+    def found(texts: list[str | None]) -> list:
+        return counts([(text or "", edits(text or "")) for text in texts])
+
+    def given(rows: list[dict]) -> list:
+        own = [[(e["start"], e["end"], e["text"] or "") for e in row["edits"] or () if e is not None] for row in rows]
+        return counts([(row["text"] or "", x) for row, x in zip(rows, own, strict=True)])
+
     names = ["n_tokens_before", "n_edits", "n_tokens", "n_chars_after", "n_chars_encoded"]
-    packed = docs.withColumn(both, F.struct(F.col(text_col).cast("string").alias("text"), F.col(edits_col).alias("edits")))
-    return appended(packed, [T.StructField(name, T.LongType()) for name in names], both, compute).drop(both)
+    fields = [T.StructField(name, T.LongType()) for name in names]
+    if callable(edits):
+        return appended(docs, fields, text_col, found)
+    both = fresh(docs, "__both")
+    pair = F.struct(F.col(text_col).cast("string").alias("text"), F.col(edits).alias("edits"))
+    return appended(docs.withColumn(both, pair), fields, both, given).drop(both)
 
 
 # What the query edits: long numbers, repeated exclamation marks, runs of blanks.
-CLEANED = r"[0-9]{4,}|!{2,}|[ \t]{2,}"
+CLEANED = re.compile(r"[0-9]{4,}|!{2,}|[ \t]{2,}")
 
 
-def cleaning_edits(text: Column) -> Column:
+def cleaning_edits(text: str) -> list[Edit]:
     """Edits that shorten what CLEANED matches to its first character."""
-    return F.transform(
-        spans_of(text, F.lit(CLEANED), 0),
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.substring(s["value"], 1, 1).alias("text")),
-    )
+    return [(match.start(), match.end(), match[0][0]) for match in CLEANED.finditer(text)]

@@ -22,7 +22,7 @@ from . import (
     simhash,
     toxicity,
 )
-from .common import crc_of, documents, text_or_empty
+from .common import crc_of, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -168,8 +168,7 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    edited = docs.withColumn("edits", edit_counts.cleaning_edits(text_or_empty()))
-    return edit_counts.recounted(edited).drop("text", "edits")
+    return edit_counts.recounted(docs, edit_counts.cleaning_edits).drop("text")
 
 
 @query()
