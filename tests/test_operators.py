@@ -17,20 +17,23 @@ def labels(spark, values):
     return spark.createDataFrame([(v,) for v in values], "label DOUBLE")
 
 
-def test_three_sigma_drops_the_extreme(spark):
-    df = labels(spark, [10.0] * 20 + [20.0])
-    lazily = outliers.sigma_filter(df, "label").collect()
-    lo, hi = outliers.bounds_on_driver(outliers.sigma_bounds(df, "label"))
-    eagerly = outliers.range_filter(df, "label", lo, hi).collect()
-    assert [r["label"] for r in lazily] == [r["label"] for r in eagerly] == [10.0] * 20
-
-
-def test_undefined_bounds_keep_everything(spark):
-    df = labels(spark, [1.0, 2.0])
-    assert outliers.range_filter(df, "label", None, None).count() == 2
-    single = labels(spark, [5.0, None])
-    assert outliers.bounds_on_driver(outliers.sigma_bounds(single, "label")) == (None, None)
-    assert outliers.sigma_filter(single, "label").count() == 2
+def test_bounds_of_skewed_labels_by_hand(spark):
+    """Of 0, 4, 8, 8, 100: mean 24, squared deviations 576, 400, 256, 256, 5776, over four."""
+    df = labels(spark, [8.0, 0.0, None, 100.0, 4.0, 8.0])
+    lo, hi = outliers.bounds_on_driver(outliers.sigma_bounds(df, "label", 1.5))
+    width = 1.5 * (7264 / 4) ** 0.5
+    assert (lo, hi) == pytest.approx((24 - width, 24 + width))
+    lazily = sorted(r["label"] for r in outliers.sigma_filter(df, "label", 1.5).collect())
+    eagerly = sorted(r["label"] for r in outliers.range_filter(df, "label", lo, hi).collect())
+    assert lazily == eagerly == [0.0, 4.0, 8.0, 8.0]
+
+
+@pytest.mark.parametrize("values", [[], [None, None], [-3.25, None]])
+def test_bounds_of_fewer_than_two_labels_are_none(spark, values):
+    df = labels(spark, values)
+    assert outliers.bounds_on_driver(outliers.sigma_bounds(df, "label")) == (None, None)
+    for kept in (outliers.sigma_filter(df, "label"), outliers.range_filter(df, "label", None, None)):
+        assert kept.count() == len(values)
 
 
 def test_range_is_inclusive_and_drops_nulls(spark):
