@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,11 +75,10 @@ def frame_in_place(
     """The labelled frame from tables of ``by_site_and_interval``: two aggregates and a join,
     without an exchange.
 
-    ``attributes`` belong to the entity: any of its rows has them.
+    ``attributes`` belong to the entity: all of its rows have the same.  So they can be keys,
+    which a hash aggregate takes and first values of text would keep it from.
     """
-    own: list[Column] = [F.any_value(name).alias(name) for name in attributes]
-    totals = readings.groupBy(site, "interval_start", entity, category).agg(
-        F.sum(value).alias(total), *own
-    )
+    keys = [site, "interval_start", entity, category, *attributes]
+    totals = readings.groupBy(*keys).agg(F.sum(value).alias(total))
     conditions = feed.groupBy(site, "interval_start").agg(*[F.avg(name).alias(name) for name in means])
     return totals.join(conditions, [site, "interval_start"], "left")
