@@ -14,7 +14,7 @@ TABLES = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = queries()
-    assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names}
+    assert "pipeline" in names and {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names}
 
 
 @pytest.mark.parametrize("name", ["op1_mixing", "op6_exact_dedup"])
