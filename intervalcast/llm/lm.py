@@ -174,9 +174,15 @@ def pair_counts(texts: DataFrame, lex: Lexicon) -> np.ndarray:
     train = texts.filter(~F.col("held_out")).select("text")
     rows = train.mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
     counts = np.zeros(SYMBOLS * SYMBOLS)
-    # SYMBOLS ** 2 rows at most.
-    found = rows.select(F.col("pair").cast("int").alias("pair"), "n").toPandas()
-    counts[found["pair"].to_numpy()] = found["n"].to_numpy()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [[c.to_numpy().astype("<i8").tobytes()] for c in batch.columns]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.binary()) for c in columns], names=["pairs", "n"])
+
+    # SYMBOLS ** 2 pairs at most; they come as a few rows of bytes, not as a row each.
+    for row in rows.select("pair", "n").mapInArrow(packed, "pairs binary, n binary").collect():
+        counts[np.frombuffer(row.pairs, "<i8")] = np.frombuffer(row.n, "<i8")
     return counts.reshape(SYMBOLS, SYMBOLS)
 
 
