@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 from itertools import chain, product
 from math import sqrt
@@ -16,7 +16,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hash_bucket
@@ -29,7 +29,7 @@ GBT_PARAMS = {"maxDepth": 3, "maxIter": 10}
 FULL_GRID = {"maxDepth": [2, 4, 6], "maxIter": [10, 20, 50], "stepSize": [0.05, 0.1, 0.2]}
 SMALL_GRID = {"maxDepth": [3, 5], "maxIter": [10, 20], "stepSize": [0.1]}
 
-FOLD = "_fold"
+FOLD, STOP = "_fold", "_stop"
 
 
 def random_forest(label: str, seed: int | None = None, **params) -> RandomForestRegressor:
@@ -137,7 +137,10 @@ def cross_validate(
 
 @dataclass(frozen=True)
 class Search:
-    """Grid points with their RMSE per fold, and the winner fitted on all rows."""
+    """Grid points with their RMSE per fold, and the winner fitted on all rows.
+
+    A point that a search by rounds has left out has no RMSE.
+    """
 
     points: list[dict]
     rmse: list[list[float]]
@@ -148,7 +151,7 @@ class Search:
         """One row per grid point: its parameters, mean RMSE and whether it won."""
         names = sorted(self.best)
         rows = [
-            (*[float(point[name]) for name in names], fmean(rmse), point == self.best)
+            (*[float(point[name]) for name in names], fmean(rmse) if rmse else None, point == self.best)
             for point, rmse in zip(self.points, self.rmse)
         ]
         schema = ", ".join(f"{name} DOUBLE" for name in names) + ", rmse DOUBLE, best BOOLEAN"
@@ -200,3 +203,84 @@ def tune_boosting(
 
     best = points[min(range(len(points)), key=lambda i: fmean(rmse[i]))]
     return Search(points, rmse, best, fit(train, spec, boosted_trees(label, seed, **best)))
+
+
+@contextmanager
+def _fold_rows(
+    folded: DataFrame, fold: int, spec: FeatureSpec, label: str, stop: Column
+) -> Iterator[tuple[DataFrame, DataFrame, bool]]:
+    """Cached rows to learn from, with the mark of those that tell when to stop; rows held out.
+
+    Preprocessing is fitted on the rows without the mark.  The last value says whether any row
+    has it.
+    """
+    train = folded.filter(F.col(FOLD) != fold).withColumn(STOP, stop)
+    learned = train.filter(~F.col(STOP))
+    stages = Pipeline(stages=preprocessing_stages(spec, _gaps(learned, spec))).fit(learned)
+    rows = stages.transform(train).select("features", label, STOP).persist()
+    check = stages.transform(folded.filter(F.col(FOLD) == fold)).select("features", label).persist()
+    try:
+        yield rows, check, not rows.filter(STOP).isEmpty()
+    finally:
+        rows.unpersist()
+        check.unpersist()
+
+
+def halve_boosting(
+    train: DataFrame,
+    spec: FeatureSpec,
+    label: str,
+    values: Mapping[str, Sequence],
+    *,
+    keys: Sequence[str],
+    folds: int = 3,
+    seed: int = 2025,
+    parallelism: int = 4,
+    divisor: int = 3,
+    stop_percent: int = 10,
+    tolerance: float = 0.01,
+) -> Search:
+    """The k-fold search for boosted trees by successive halving over the values of ``maxIter``.
+
+    All combinations of the other parameters are grown to the smallest number of trees; of
+    these the best 1 / ``divisor`` (rounded up; ties to the earlier one) to the next, and so on.
+    A run ends early once the error on ``stop_percent`` percent of its learning rows, chosen by
+    key hash, falls by less than ``tolerance`` of itself; the longer points of the combination
+    then have the same trees.  Folds and combinations run together.  `tune_boosting` is the
+    exact search.
+    """
+    values = dict(values)
+    lengths = sorted(values.pop("maxIter"))
+    combinations = [dict(zip(values, chosen)) for chosen in product(*values.values())]
+    points = [c | {"maxIter": n} for c in combinations for n in lengths]
+    rmse: list[list[float]] = [[] for _ in points]
+    trees = [0] * len(points)
+    folded = with_folds(train, keys, folds, seed)
+    stop = hash_bucket(keys, 100, salt=f"stop{seed}") < stop_percent
+
+    with ExitStack() as held:
+        parts = [held.enter_context(_fold_rows(folded, k, spec, label, stop)) for k in range(folds)]
+
+        def errors(task: tuple[int, int, int]) -> tuple[float, int]:
+            number, length, fold = task
+            rows, check, stops = parts[fold]
+            early = {"validationIndicatorCol": STOP, "validationTol": tolerance} if stops else {}
+            model = boosted_trees(label, seed, maxIter=length, **early, **combinations[number]).fit(rows)
+            return sqrt(model.evaluateEachIteration(check, "squared")[-1]), model.getNumTrees
+
+        running = list(range(len(combinations)))
+        with ThreadPool(parallelism) as pool:
+            run = inheritable_thread_target(train.sparkSession)(errors)
+            for place, length in enumerate(lengths):
+                tasks = [(number, length, fold) for number in running for fold in range(folds)]
+                for (number, _, _), (error, grown) in zip(tasks, pool.map(run, tasks, chunksize=1)):
+                    at = number * len(lengths) + place
+                    rmse[at].append(error)
+                    trees[at] = max(trees[at], grown)
+                running.sort(key=lambda number: fmean(rmse[number * len(lengths) + place]))
+                running = sorted(running[: -(-len(running) // divisor)])
+
+    scored = [i for i, found in enumerate(rmse) if found]
+    winner = min(scored, key=lambda i: fmean(rmse[i]))
+    final = boosted_trees(label, seed, **(points[winner] | {"maxIter": trees[winner]}))
+    return Search(points, rmse, points[winner], fit(train, spec, final))

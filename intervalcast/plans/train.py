@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -62,15 +62,19 @@ def train_on(
     spec=domain.FEATURES,
     keys: Sequence[str] = domain.GRAIN,
     grid: Mapping[str, Sequence] = FULL_GRID,
+    tune: Callable[..., Search] = tune_boosting,
 ) -> Training:
-    """Compare the candidates, tune boosted trees, save and score the winner."""
+    """Compare the candidates, tune boosted trees, save and score the winner.
+
+    ``tune`` is the exact search or `halve_boosting`.
+    """
     model = settings.model
     use_checkpoints(frame.sparkSession)
     train, test = prepare(frame, model, keys)
     _, benchmark = compare(
         train, test, spec, model.label_col, candidates(model.label_col, model.seed)
     )
-    search = tune_boosting(
+    search = tune(
         train, spec, model.label_col, grid, keys=keys, folds=model.cv_folds, seed=model.seed
     )
     best = search.model

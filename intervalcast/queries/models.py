@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from ..operators.enrich import attach
 from ..operators.modeling import (
+    FULL_GRID,
     GBT_PARAMS,
     SMALL_GRID,
     boosted_trees,
     candidates,
     compare,
     fit,
+    halve_boosting,
     tune_boosting,
 )
 from ..operators.resample import interval_of
@@ -87,6 +89,33 @@ def tune_gbt(spark, sf_dir):
     )
 
 
+@query(
+    f"""SELECT CAST(d AS DOUBLE) AS "maxDepth", CAST(i AS DOUBLE) AS "maxIter",
+               CAST(s AS DOUBLE) AS "stepSize",
+               CASE i WHEN 10 THEN 9 WHEN 20 THEN 3 ELSE 1 END AS n_scored,
+               true AS finite, true AS one_winner, true AS best_is_smallest
+        FROM (SELECT unnest({FULL_GRID["maxDepth"]}) AS d),
+             (SELECT unnest({FULL_GRID["maxIter"]}) AS i),
+             (SELECT unnest({FULL_GRID["stepSize"]}) AS s)"""
+)
+def tune_halving(spark, sf_dir):
+    """Three folds over the full grid by halving: its points, how many of a length were scored."""
+    train, _ = parts(spark, sf_dir)
+    search = halve_boosting(train, SPEC, LABEL, FULL_GRID, keys=KEY, folds=3, seed=MODEL.seed)
+    everything = Window.partitionBy()
+    return search.report(spark).select(
+        "maxDepth",
+        "maxIter",
+        "stepSize",
+        F.count("rmse").over(Window.partitionBy("maxIter")).cast("int").alias("n_scored"),
+        (F.col("rmse").isNull() | (F.col("rmse") < float("inf"))).alias("finite"),
+        (F.sum(F.col("best").cast("int")).over(everything) == 1).alias("one_winner"),
+        (~F.col("best") | (F.col("rmse") == F.min("rmse").over(everything))).alias(
+            "best_is_smallest"
+        ),
+    )
+
+
 def saved_model(spark, train):
     """Boosted trees, fitted, saved and loaded again."""
     folder = new_folder(spark, "model")

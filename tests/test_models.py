@@ -105,6 +105,36 @@ def test_short_search_equals_the_validator(spark, frame):
     assert validated.bestModel.stages[-1].getNumTrees == search.best["maxIter"]
 
 
+def test_halving_scores_the_points_it_reaches(spark, frame):
+    grid = {"maxDepth": [1, 2, 3], "maxIter": [1, 2, 4], "stepSize": [0.3]}
+    exact = {"stop_percent": 0, "divisor": 1}
+    options = {"keys": ["id"], "folds": 2, "seed": 5}
+    whole = modeling.tune_boosting(frame, SPEC, "label", grid, **options)
+    # Nothing left out and no early end: the exact search.
+    same = modeling.halve_boosting(frame, SPEC, "label", grid, **options, **exact)
+    assert same.points == whole.points and same.best == whole.best
+    assert [pytest.approx(r) for r in whole.rmse] == same.rmse
+
+    halved = modeling.halve_boosting(frame, SPEC, "label", grid, **options, stop_percent=0, divisor=2)
+    reached = {n: [i for i, p in enumerate(halved.points) if p["maxIter"] == n and halved.rmse[i]] for n in (1, 2, 4)}
+    assert [len(reached[n]) for n in (1, 2, 4)] == [3, 2, 1]
+    for short, long in ((1, 2), (2, 4)):
+        # Those grown on are the best of the round before.
+        ranked = sorted(reached[short], key=lambda i: sum(whole.rmse[i]))
+        assert {i + 1 for i in ranked[: len(reached[long])]} == set(reached[long])
+    assert all(halved.rmse[i] == pytest.approx(whole.rmse[i]) for n in reached for i in reached[n])
+    report = halved.report(spark).collect()
+    assert len(report) == 9 and sum(r["best"] for r in report) == 1
+    assert sum(r["rmse"] is not None for r in report) == 6
+
+
+def test_runs_of_a_search_end_early(frame):
+    flat = frame.withColumn("label", F.col("id") % 2 + F.lit(0.0))
+    grid = {"maxDepth": [2], "maxIter": [20], "stepSize": [0.3]}
+    found = modeling.halve_boosting(flat, SPEC, "label", grid, keys=["id"], folds=2, stop_percent=20)
+    assert found.best["maxIter"] == 20 and found.model.stages[-1].getNumTrees < 20
+
+
 def test_grids():
     assert math.prod(map(len, modeling.FULL_GRID.values())) == 27
     assert math.prod(map(len, modeling.SMALL_GRID.values())) == 4
