@@ -1,15 +1,18 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 Words enter as a learned word vector and as the mean of learned vectors of their character
-n-grams, so forms never seen are scored by their parts.  A text is read in windows of
-``WINDOW`` words that overlap by half, to its end; a text's score is that of its highest
-window.  A text without words is one empty window.
+n-grams, so forms never seen are scored by their parts.  A word of more than ``UNBROKEN`` bytes,
+such as a text without blanks, is taken apart into overlapping pieces.  The network runs both
+ways over spans of ``SPAN`` words; attention pools its states over every window of ``WINDOW``
+words, one starting at each word, and each window lies whole in a span.  A text's score is that
+of its highest window.  A text of fewer words is one window, one without words an empty window.
 
 Fitting is multiple-instance: of each labelled text the windows are scored, one is drawn in
-favour of high scores (later the highest), and the network learns from it.  It uses at most
-``SAMPLE`` labelled texts of each kind, those with the smallest hash of their id among the
-rows that are not held out, and of these only such up to ``LONGEST`` characters; all texts are
-scored whole.  Without labels of both kinds every text scores 0.
+favour of high scores (later the highest), and the network learns from it.  One text in
+``JOINED``, of those up to ``SHORT`` bytes, is half the time read without its blanks.  It uses at most ``SAMPLE`` labelled texts of each kind,
+those with the smallest hash of their id among the rows that are not held out, and of these only
+such up to ``LONGEST`` characters; all texts are scored whole.  An id labelled both ways counts
+as both.  Without labels of both kinds every text scores 0.
 """
 
 from __future__ import annotations
@@ -27,8 +30,11 @@ from .common import appended, crc_of, fresh, words_of
 SAMPLE = 1500  # labelled texts of each kind, at most
 LONGEST = 100_000  # characters of a text in the sample, at most
 HELD_OUT = 5
-WINDOW = 32
-STRIDE = WINDOW // 2
+WINDOW = 32  # words; a power of two
+SPAN = 2 * WINDOW
+STARTS = SPAN - WINDOW + 1  # windows of a span
+UNBROKEN, PART = 48, 12  # bytes of a word that is taken apart from there, and of its pieces
+JOINED, SHORT = 3, 4096
 HIDDEN = 8
 CHARS, WORDS = 12, 8  # sizes of the two word inputs
 BUCKETS = 2**14  # of character n-grams
@@ -79,9 +85,26 @@ def _summed(rows: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def windows(n: int) -> list[int]:
-    """Where the windows of n words start."""
-    return [0] if n <= WINDOW else [*range(0, n - WINDOW, STRIDE), n - WINDOW]
+def pieces_of(words: list[bytes]) -> list[bytes]:
+    """The words, those that are very long as pieces that overlap by half."""
+    if all(len(w) <= UNBROKEN for w in words):
+        return words
+    out: list[bytes] = []
+    for w in words:
+        if len(w) <= UNBROKEN:
+            out.append(w)
+        else:
+            out += [w[i : i + PART] for i in range(0, len(w) - PART // 2, PART // 2)]
+    return out
+
+
+def _over_windows(x: np.ndarray) -> np.ndarray:
+    """Sums over all windows along the first axis."""
+    width = 1
+    while width < WINDOW:
+        x = x[:-width] + x[width:]
+        width *= 2
+    return x
 
 
 @dataclass
@@ -93,50 +116,71 @@ class Network:
     known: dict[bytes, int] = field(default_factory=dict, repr=False)
     sides: np.ndarray | None = field(default=None, repr=False)
 
-    def inputs(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
-        w = self.weights
+    def parts(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets of n-grams, the word of each, how many a word has, and places in the vocabulary."""
         bucket, owner = grams(words)
         # Every word has an n-gram: with both edges it has three characters or more.
-        counts = np.bincount(owner, minlength=len(words)).astype(np.float32)
-        starts = np.concatenate([[0], np.cumsum(counts[:-1])]).astype(np.int64)
-        chars = np.add.reduceat(w["chars"][bucket], starts, axis=0) / counts[:, None]
-        ids = np.array([self.vocabulary.get(x.strip(EDGES), 0) for x in words])
-        return np.hstack([chars, w["words"][ids]]), (bucket, owner, counts, ids)
-
-    def forward(self, sides: np.ndarray, at: np.ndarray, learn: bool = True) -> tuple[np.ndarray, dict]:
-        """Logits of windows; ``at`` holds rows of the projected inputs of both sides.
-
-        Row -1 stands for no word; ``learn`` keeps what the backward pass needs.
+        counts = np.bincount(owner, minlength=len(words))
+        ids = np.array([self.vocabulary.get(x.strip(EDGES), 0) for x in words], dtype=np.int64)
+        return bucket, owner, counts, ids
+
+    def inputs(self, bucket: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Both inputs of words from their parts, buckets in the order of words."""
+        starts = np.concatenate([[0], np.cumsum(counts[:-1])])
+        chars = np.add.reduceat(self.weights["chars"][bucket], starts, axis=0)
+        chars /= counts[:, None].astype(np.float32)
+        return np.hstack([chars, self.weights["words"][ids]])
+
+    def states(self, sides: np.ndarray, at: np.ndarray, learn: bool) -> tuple[np.ndarray, dict]:
+        """States of both directions by place (place, row, 2 * HIDDEN).
+
+        ``at`` holds rows of the projected inputs of both sides, -1 for no word; ``learn`` keeps
+        what the backward pass needs.
         """
-        w, n = self.weights, len(at)
-        kept: dict = {"at": at}
-        turned = np.ascontiguousarray(at.T)
-        states = np.zeros((2, WINDOW + 1, n, HIDDEN), dtype=np.float32)
+        n, length = at.shape
+        u = np.stack([self.weights["u0"], self.weights["u1"]])
+        table = sides.reshape(-1, 3 * HIDDEN)
+        turned = np.where(at.T < 0, sides.shape[1] - 1, at.T)
+        places = np.stack([turned, turned[::-1] + sides.shape[1]], axis=1)
+        states = np.zeros((length + 1, 2, n, HIDDEN), dtype=sides.dtype)
         gates = []
-        for side in range(2):
-            u = w[f"u{side}"]
-            h = states[side, 0]
-            for step in range(WINDOW):
-                t = step if side == 0 else WINDOW - 1 - step
-                x = sides[side].take(turned[t], axis=0, mode="wrap")
-                y = h @ u
-                zr = sigmoid(x[:, : 2 * HIDDEN] + y[:, : 2 * HIDDEN])
-                z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-                c = np.tanh(x[:, 2 * HIDDEN :] + r * y[:, 2 * HIDDEN :])
-                if learn:
-                    gates.append((z, r, c, y[:, 2 * HIDDEN :]))
-                h = c + z * (h - c)
-                states[side, step + 1] = h
-        both = np.concatenate([states[0, 1:], states[1, :0:-1]], axis=2)
-        e = both @ w["attend"]
-        e = np.where(turned >= 0, e, -1e9)
-        a = np.exp(e - e.max(axis=0))
-        a *= turned >= 0
+        for step in range(length):
+            h = states[step]
+            x = table[places[step]]
+            y = h @ u
+            zr = sigmoid(x[:, :, : 2 * HIDDEN] + y[:, :, : 2 * HIDDEN])
+            z, r = zr[:, :, :HIDDEN], zr[:, :, HIDDEN:]
+            c = np.tanh(x[:, :, 2 * HIDDEN :] + r * y[:, :, 2 * HIDDEN :])
+            if learn:
+                gates.append((z, r, c, y[:, :, 2 * HIDDEN :]))
+            states[step + 1] = c + z * (h - c)
+        both = np.concatenate([states[1:, 0], states[:0:-1, 1]], axis=2)
+        return both, {"at": at, "states": states, "gates": gates, "both": both}
+
+    def forward(
+        self, sides: np.ndarray, at: np.ndarray, inside: np.ndarray | None = None
+    ) -> tuple[np.ndarray, dict]:
+        """Logits of one window a row: the places ``inside``, or all."""
+        w = self.weights
+        both, kept = self.states(sides, at, learn=True)
+        seen = (at >= 0 if inside is None else inside & (at >= 0)).T
+        e = np.where(seen, both @ w["attend"], -1e9)
+        a = np.exp(e - e.max(axis=0)) * seen
         a /= np.maximum(a.sum(axis=0), 1e-9)
         pooled = np.einsum("tn,tnh->nh", a, both)
-        logit = pooled @ w["out"] + w["bias"][0]
-        kept |= {"states": states, "gates": gates, "both": both, "a": a, "pooled": pooled}
-        return logit, kept
+        return pooled @ w["out"] + w["bias"][0], kept | {"a": a, "pooled": pooled}
+
+    def of_windows(self, sides: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Logits of all windows of spans (span, start); -inf where a text has no window."""
+        w = self.weights
+        both, _ = self.states(sides, at, learn=False)
+        seen = at.T >= 0
+        e = np.where(seen, both @ w["attend"], -1e9).astype(np.float64)
+        a = np.exp(e - e.max(axis=0)) * seen
+        logits = _over_windows(a * (both @ w["out"])) / np.maximum(_over_windows(a), 1e-300) + w["bias"][0]
+        real = seen[WINDOW - 1 :].copy()
+        real[0] = True
+        return np.where(real, logits, -np.inf).T
 
     def backward(self, d: np.ndarray, kept: dict, size: int) -> tuple[dict, np.ndarray]:
         """Gradients of the recurrent part, and of the table of projected inputs."""
@@ -148,32 +192,29 @@ class Network:
         de = a * (da - (a * da).sum(axis=0))
         dboth = a[:, :, None] * dp + de[:, :, None] * w["attend"]
         grad["attend"] = np.einsum("tn,tnh->h", de, both)
-        places, rows = [], []
-        for side in range(2):
-            u = w[f"u{side}"]
-            du = np.zeros_like(u)
-            dh = np.zeros((len(at), HIDDEN), dtype=np.float32)
-            for step in reversed(range(WINDOW)):
-                t = step if side == 0 else WINDOW - 1 - step
-                z, r, c, yc = kept["gates"][side * WINDOW + step]
-                h = states[side, step]
-                dh = dh + dboth[t][:, side * HIDDEN : (side + 1) * HIDDEN]
-                dc = dh * (1 - z) * (1 - c * c)
-                dz = dh * (h - c) * z * (1 - z)
-                dr = dc * yc * r * (1 - r)
-                dx = np.hstack([dz, dr, dc])
-                dy = np.hstack([dz, dr, dc * r])
-                du += h.T @ dy
-                dh = dh * z + dy @ u.T
-                full = np.zeros((len(at), 6 * HIDDEN), dtype=np.float32)
-                full[:, side * 3 * HIDDEN : (side + 1) * 3 * HIDDEN] = dx
-                places.append(at[:, t])
-                rows.append(full)
-            grad[f"u{side}"] = du
-        place = np.concatenate(places)
-        rows_ = np.concatenate(rows)
-        real = place >= 0
-        return grad, _summed(rows_[real], place[real], size)
+        # By step, as the states: forwards on one side, backwards on the other.
+        dstep = np.stack([dboth[:, :, :HIDDEN], dboth[::-1, :, HIDDEN:]], axis=1)
+        back = np.stack([w["u0"].T, w["u1"].T])
+        du = np.zeros((2, HIDDEN, 3 * HIDDEN), dtype=states.dtype)
+        dh = np.zeros((2, len(at), HIDDEN), dtype=states.dtype)
+        rows = np.empty((at.shape[1], 2, len(at), 3 * HIDDEN), dtype=states.dtype)
+        for step in reversed(range(at.shape[1])):
+            z, r, c, yc = kept["gates"][step]
+            h = states[step]
+            dh = dh + dstep[step]
+            dc = dh * (1 - z) * (1 - c * c)
+            dz = dh * (h - c) * z * (1 - z)
+            dr = dc * yc * r * (1 - r)
+            rows[step] = np.concatenate([dz, dr, dc], axis=2)
+            dy = np.concatenate([dz, dr, dc * r], axis=2)
+            du += h.transpose(0, 2, 1) @ dy
+            dh = dh * z + dy @ back
+        grad["u0"], grad["u1"] = du
+        places = np.stack([at.T, at.T[::-1]], axis=1)
+        real = places >= 0
+        places = places + np.array([0, size])[None, :, None]
+        table = _summed(rows[real], places[real], 2 * size).reshape(2, size, 3 * HIDDEN)
+        return grad, np.hstack([table[0], table[1]])
 
     def projected(self, x: np.ndarray) -> np.ndarray:
         """Inputs through the input weights, by side."""
@@ -187,10 +228,10 @@ class Network:
         owner: list[np.ndarray] = []
         waiting = 0
         for i, text in enumerate(texts):
-            words = words_of(text)
-            # Passages share a window of words, so no window is lost between them.
-            for start in range(0, max(len(words) - WINDOW, 1), PASSAGE):
-                part = words[start : start + PASSAGE + WINDOW]
+            words = pieces_of(words_of(text))
+            # Passages share words, so no window is lost between them.
+            for start in range(0, max(len(words) - WINDOW + 1, 1), PASSAGE):
+                part = words[start : start + PASSAGE + WINDOW - 1]
                 new = [w for w in dict.fromkeys(part) if w not in self.known]
                 if self.sides is None or len(self.known) + len(new) > CACHE:
                     self._highest(best, at, owner)
@@ -201,7 +242,7 @@ class Network:
                 if new:
                     first = len(self.known)
                     self.known.update(zip(new, range(first, first + len(new)), strict=True))
-                    self.sides[:, first : first + len(new)] = self.projected(self.inputs(new)[0])
+                    self.sides[:, first : first + len(new)] = self.projected(self._read(new))
                 rows = np.array([self.known[w] for w in part], dtype=np.int64)
                 at.append(_cut(rows))
                 owner.append(np.full(len(at[-1]), i))
@@ -212,9 +253,13 @@ class Network:
         self._highest(best, at, owner)
         return sigmoid(np.clip(best, -30, 30))
 
+    def _read(self, words: list[bytes]) -> np.ndarray:
+        bucket, _, counts, ids = self.parts(words)
+        return self.inputs(bucket, counts, ids)
+
     def _highest(self, best: np.ndarray, at: list, owner: list) -> None:
         if at:
-            logits, _ = self.forward(self.sides, np.concatenate(at), learn=False)
+            logits = self.of_windows(self.sides, np.concatenate(at)).max(axis=1)
             np.maximum.at(best, np.concatenate(owner), logits)
 
 
@@ -225,15 +270,16 @@ def _with_shut(sides: np.ndarray) -> np.ndarray:
     return np.concatenate([sides, shut], axis=1)
 
 
-BATCH = 4096  # windows scored at once
-PASSAGE = 16_000  # words of a text looked up at once; a multiple of the stride
+BATCH = 2048  # spans scored at once
+PASSAGE = 500 * STARTS  # words of a text looked up at once
 
 
 def _cut(rows: np.ndarray) -> np.ndarray:
-    """Rows of words as windows, -1 where a short text has none."""
-    if len(rows) < WINDOW:
-        rows = np.concatenate([rows, np.full(WINDOW - len(rows), -1, dtype=np.int64)])
-    return np.lib.stride_tricks.sliding_window_view(rows, WINDOW)[windows(len(rows))]
+    """Rows of words as spans, -1 behind the end of the text."""
+    spans = max(len(rows) - WINDOW, 0) // STARTS + 1
+    padded = np.full((spans - 1) * STARTS + SPAN, -1, dtype=np.int64)
+    padded[: len(rows)] = rows
+    return np.lib.stride_tricks.sliding_window_view(padded, SPAN)[::STARTS]
 
 
 def _start(texts: list[list[bytes]], rng: np.random.Generator) -> Network:
@@ -261,12 +307,54 @@ def _start(texts: list[list[bytes]], rng: np.random.Generator) -> Network:
     return Network(vocabulary, weights)
 
 
+@dataclass
+class _Words:
+    """The parts of all words of a sample, one word after another."""
+
+    bucket: np.ndarray
+    counts: np.ndarray
+    ids: np.ndarray
+    starts: np.ndarray
+
+    @classmethod
+    def of(cls, net: Network, words: list[bytes]) -> _Words:
+        buckets, counts, ids = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), 50_000):
+            bucket, _, count, place = net.parts(words[at : at + 50_000])
+            buckets.append(bucket.astype(np.uint16))
+            counts.append(count)
+            ids.append(place)
+        sizes = np.concatenate(counts)
+        return cls(np.concatenate(buckets), sizes, np.concatenate(ids), np.cumsum(sizes) - sizes)
+
+    def take(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets of these words, the word of each (by place), counts, places in the vocabulary."""
+        counts = self.counts[words]
+        word = np.repeat(np.arange(len(words)), counts)
+        shift = self.starts[words] - (np.cumsum(counts) - counts)
+        return self.bucket[np.arange(len(word)) + shift[word]].astype(np.int64), word, counts, self.ids[words]
+
+
 def train(texts: list[str], toxic: np.ndarray, *, seed: int = 9, rate: float = 0.01) -> Network:
     """A network fitted to labelled texts; an empty text counts as one that is not toxic."""
     rng = np.random.default_rng(seed)
-    split = [words_of(t) for t in (*texts, "")]
+    read = [words_of(t) for t in (*texts, "")]
+    split = [pieces_of(words) for words in read]
     y = np.append(np.asarray(toxic, dtype=np.float32), np.float32(0))
     net = _start(split, rng)
+    index: dict[bytes, int] = {}
+
+    def places(words: list[bytes]) -> np.ndarray:
+        return np.array([index.setdefault(w, len(index)) for w in words], dtype=np.int64)
+
+    whole = [places(words) for words in split]
+    joined = {
+        i: places(pieces_of([b"".join(words)]))
+        for i, words in enumerate(read)
+        if i % JOINED == 0 and 0 < sum(map(len, words)) <= SHORT
+    }
+    sample = _Words.of(net, list(index))
+    del read, split, index
     first = {k: np.zeros_like(v) for k, v in net.weights.items()}
     second = {k: np.zeros_like(v) for k, v in net.weights.items()}
     step = 0
@@ -278,31 +366,30 @@ def train(texts: list[str], toxic: np.ndarray, *, seed: int = 9, rate: float = 0
         last = turn >= 0.7 * rounds
         order = rng.permutation(np.concatenate([np.resize(rng.permutation(k), most) for k in kinds]))
         for part in np.array_split(order, -(-len(order) // TOGETHER)):
-            index: dict[bytes, int] = {}
-            cut, owner = [], []
-            for k, i in enumerate(part):
-                rows = [index.setdefault(w, len(index)) for w in split[i]]
-                cut.append(_cut(np.array(rows, dtype=np.int64)))
-                owner.append(np.full(len(cut[-1]), k))
-            at, own = np.concatenate(cut), np.concatenate(owner)
-            x, parts = net.inputs(list(index)) if index else (None, None)
-            if x is None:
+            chosen = [joined[i] if i in joined and rng.integers(2) else whole[i] for i in part]
+            used, rows = np.unique(np.concatenate(chosen), return_inverse=True)
+            if not len(used):
                 continue
+            cut = [_cut(r) for r in np.split(rows, np.cumsum([len(c) for c in chosen])[:-1])]
+            at = np.concatenate(cut)
+            own = np.repeat(np.arange(len(part)), [len(c) * STARTS for c in cut])
+            bucket, word, counts, ids = sample.take(used)
+            x = net.inputs(bucket, counts, ids)
             sides = _with_shut(net.projected(x))
-            logits, _ = net.forward(sides, at, learn=False)
+            logits = net.of_windows(sides, at).reshape(-1)
             # One window a text: drawn in favour of high scores, more and more strictly.
             drawn = logits * (1 + 10 * turn / rounds) + rng.gumbel(size=len(logits)) * (not last)
             ranked = np.lexsort((-drawn, own))
-            chosen = ranked[np.concatenate([[0], np.flatnonzero(np.diff(own[ranked])) + 1])]
-            logits, kept = net.forward(sides, at[chosen])
+            window = ranked[np.concatenate([[0], np.flatnonzero(np.diff(own[ranked])) + 1])]
+            start = (window % STARTS)[:, None]
+            inside = (np.arange(SPAN) >= start) & (np.arange(SPAN) < start + WINDOW)
+            logits, kept = net.forward(sides, at[window // STARTS], inside)
             d = ((sigmoid(logits) - y[part]) / len(part)).astype(np.float32)
-            grad, dtable = net.backward(d, kept, len(index))
+            grad, dtable = net.backward(d, kept, len(used))
             grad["w"], grad["b"] = x.T @ dtable, dtable.sum(axis=0)
             dx = dtable @ net.weights["w"].T
-            bucket, word, counts, ids = parts
-            touched = np.flatnonzero(np.abs(dx).max(axis=1) > 0)
-            use = np.isin(word, touched)
-            grad["chars"] = _summed((dx[:, :CHARS] / counts[:, None])[word[use]], bucket[use], BUCKETS)
+            use = (np.abs(dx).max(axis=1) > 0)[word]
+            grad["chars"] = _summed((dx[:, :CHARS] / counts[:, None].astype(np.float32))[word[use]], bucket[use], BUCKETS)
             grad["words"] = _summed(dx[:, CHARS:], ids, len(net.vocabulary) + 1)
             step += 1
             for k, g in grad.items():
