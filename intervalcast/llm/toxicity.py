@@ -7,8 +7,10 @@ ways over spans of ``SPAN`` words; attention pools its states over every window
 words, one starting at each word, and each window lies whole in a span.  A text's score is that
 of its highest window.  A text of fewer words is one window, one without words an empty window.
 
-Fitting is multiple-instance: of each labelled text the windows are scored, one is drawn in
-favour of high scores (later the highest), and the network learns from it.  One text in
+Fitting is multiple-instance: of each labelled text windows are scored, one is drawn in favour
+of high scores (later the highest), and the network learns from it.  All windows are scored when
+a text is met first, later those of the highest span and of a quarter of the spans, in turn (of
+``FEWEST``, if that is more), so long texts cost less and no window is left out.  One text in
 ``JOINED``, of those up to ``SHORT`` bytes, is half the time read without its blanks.  It uses at most ``SAMPLE`` labelled texts of each kind,
 those with the smallest hash of their id among the rows that are not held out, and of these only
 such up to ``LONGEST`` characters; all texts are scored whole.  An id labelled both ways counts
@@ -42,6 +44,7 @@ VOCABULARY = 4000
 GRAMS = (3, 4, 5)
 ROUNDS, STEPS = 10, 600  # rounds over the sample and steps of learning, at least
 TOGETHER = 48  # texts of a step
+FEWEST, TURNS = 4, 4  # spans of a text scored anew in a step, at least; steps until all are
 CACHE = 200_000  # words a worker remembers; more start it anew
 SHUT = 30.0
 
@@ -79,9 +82,11 @@ def _summed(rows: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
     """Rows added up by place."""
     out = np.zeros((size, rows.shape[1]), dtype=rows.dtype)
     if len(places):
-        order = np.argsort(places, kind="stable")
-        at, first = np.unique(places[order], return_index=True)
-        out[at] = np.add.reduceat(rows[order], first, axis=0)
+        # Numbers of two bytes are sorted in far less time.
+        order = np.argsort(places.astype(np.uint16) if size <= 2**16 else places, kind="stable")
+        at = places[order]
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        out[at[first]] = np.add.reduceat(rows[order], first, axis=0)
     return out
 
 
@@ -307,6 +312,30 @@ def _start(texts: list[list[bytes]], rng: np.random.Generator) -> Network:
     return Network(vocabulary, weights)
 
 
+@dataclass
+class _Spans:
+    """The spans of a text, and the highest score of each when it was last scored."""
+
+    rows: np.ndarray
+    best: np.ndarray | None = None
+    turn: int = 0
+
+    def chosen(self) -> np.ndarray:
+        """All spans at first, then the highest and some in turn."""
+        n = len(self.rows)
+        some = max(FEWEST, -(-n // TURNS))
+        if self.best is None or n <= some:
+            return np.arange(n)
+        at = np.append((self.turn + np.arange(some)) % n, self.best.argmax())
+        self.turn = (self.turn + some) % n
+        return np.unique(at)
+
+    def note(self, at: np.ndarray, scores: np.ndarray) -> None:
+        if self.best is None:
+            self.best = np.empty(len(self.rows))
+        self.best[at] = scores
+
+
 @dataclass
 class _Words:
     """The parts of all words of a sample, one word after another."""
@@ -347,9 +376,9 @@ def train(texts: list[str], toxic: np.ndarray, *, seed: int = 9, rate: float = 0
     def places(words: list[bytes]) -> np.ndarray:
         return np.array([index.setdefault(w, len(index)) for w in words], dtype=np.int64)
 
-    whole = [places(words) for words in split]
+    whole = [_Spans(_cut(places(words))) for words in split]
     joined = {
-        i: places(pieces_of([b"".join(words)]))
+        i: _Spans(_cut(places(pieces_of([b"".join(words)]))))
         for i, words in enumerate(read)
         if i % JOINED == 0 and 0 < sum(map(len, words)) <= SHORT
     }
@@ -366,17 +395,23 @@ def train(texts: list[str], toxic: np.ndarray, *, seed: int = 9, rate: float = 0
         last = turn >= 0.7 * rounds
         order = rng.permutation(np.concatenate([np.resize(rng.permutation(k), most) for k in kinds]))
         for part in np.array_split(order, -(-len(order) // TOGETHER)):
-            chosen = [joined[i] if i in joined and rng.integers(2) else whole[i] for i in part]
-            used, rows = np.unique(np.concatenate(chosen), return_inverse=True)
+            read = [joined[i] if i in joined and rng.integers(2) else whole[i] for i in part]
+            chosen = [spans.chosen() for spans in read]
+            at = np.concatenate([spans.rows[c] for spans, c in zip(read, chosen, strict=True)])
+            real = at >= 0
+            used, rows = np.unique(at[real], return_inverse=True)
             if not len(used):
                 continue
-            cut = [_cut(r) for r in np.split(rows, np.cumsum([len(c) for c in chosen])[:-1])]
-            at = np.concatenate(cut)
-            own = np.repeat(np.arange(len(part)), [len(c) * STARTS for c in cut])
+            at[real] = rows
+            ends = np.cumsum([len(c) for c in chosen])
+            own = np.repeat(np.arange(len(part)), [len(c) * STARTS for c in chosen])
             bucket, word, counts, ids = sample.take(used)
             x = net.inputs(bucket, counts, ids)
             sides = _with_shut(net.projected(x))
-            logits = net.of_windows(sides, at).reshape(-1)
+            logits = net.of_windows(sides, at)
+            for spans, c, top in zip(read, chosen, np.split(logits.max(axis=1), ends[:-1]), strict=True):
+                spans.note(c, top)
+            logits = logits.reshape(-1)
             # One window a text: drawn in favour of high scores, more and more strictly.
             drawn = logits * (1 + 10 * turn / rounds) + rng.gumbel(size=len(logits)) * (not last)
             ranked = np.lexsort((-drawn, own))

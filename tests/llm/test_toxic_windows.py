@@ -105,3 +105,20 @@ def test_words_looked_up_once_have_the_same_inputs(net):
     bucket, word, counts, ids = sample.take(np.array([4, 1, 1, 2]))
     again = net.parts([words[i] for i in (4, 1, 1, 2)])
     assert all((a == b).all() for a, b in zip((bucket, word, counts, ids), again))
+
+
+def test_spans_are_scored_in_turn_and_none_is_left_out():
+    spans = t._Spans(np.zeros((23, t.SPAN), dtype=np.int64))
+    first = spans.chosen()
+    assert first.tolist() == list(range(23))
+    spans.note(first, np.where(first == 7, 1.0, 0.0))
+    seen = []
+    for _ in range(t.TURNS):
+        at = spans.chosen()
+        assert 7 in at and len(at) <= 7
+        spans.note(at, np.where(at == 7, 1.0, 0.0))
+        seen += at.tolist()
+    assert set(seen) == set(range(23))
+    short = t._Spans(np.zeros((3, t.SPAN), dtype=np.int64))
+    short.note(short.chosen(), np.zeros(3))
+    assert short.chosen().tolist() == [0, 1, 2]
