@@ -6,7 +6,7 @@ import warnings
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
-from itertools import chain, product
+from itertools import product
 from math import sqrt
 from multiprocessing.pool import ThreadPool
 from statistics import fmean
@@ -14,14 +14,16 @@ from statistics import fmean
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..functions import hash_bucket
 from .accuracy import METRICS, scores
-from .preprocess import FeatureSpec, empty_columns, estimator_pipeline, preprocessing_stages
+from .preprocess import FeatureSpec, empty_columns, estimator_pipeline, preprocessing_stages, quoted
 
 # The candidates and grids to compare.
 RF_PARAMS = {"maxDepth": 3, "numTrees": 10}
@@ -29,7 +31,12 @@ GBT_PARAMS = {"maxDepth": 3, "maxIter": 10}
 FULL_GRID = {"maxDepth": [2, 4, 6], "maxIter": [10, 20, 50], "stepSize": [0.05, 0.1, 0.2]}
 SMALL_GRID = {"maxDepth": [3, 5], "maxIter": [10, 20], "stepSize": [0.1]}
 
-FOLD, STOP = "_fold", "_stop"
+FOLD, STOP, WEIGHT = "_fold", "_stop", "_weight"
+
+# Searches merge the learning rows of larger tables into cells.  Tree learners cut a column into
+# at most so many ranges (their ``maxBins``); columns with few more values are left as they are.
+MERGE_FROM = 100_000
+BINS = 32
 
 
 def random_forest(label: str, seed: int | None = None, **params) -> RandomForestRegressor:
@@ -167,60 +174,136 @@ def tune_boosting(
     keys: Sequence[str],
     folds: int = 3,
     seed: int = 2025,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> Search:
     """The k-fold search for boosted trees, with the same results and far fewer fits.
 
     Preprocessing is fitted once per fold, not once per fold and grid point.  And boosting
     is sequential: the first 10 trees of 50 are the model of 10 iterations, so the longest
-    run of each combination gives the errors of all its shorter ones.
+    run of each combination gives the errors of all its shorter ones.  Folds and combinations
+    run together, on the cells of `Cells`.
     """
     values = dict(values)
     lengths = sorted(values.pop("maxIter"))
     combinations = [dict(zip(values, chosen)) for chosen in product(*values.values())]
     points = [c | {"maxIter": n} for c in combinations for n in lengths]
     rmse: list[list[float]] = [[] for _ in points]
-
     folded = with_folds(train, keys, folds, seed)
-    for fold in range(folds):
-        held_out = folded.filter(F.col(FOLD) == fold)
-        with prepared(folded.filter(F.col(FOLD) != fold), spec, label) as (stages, rows):
-            check = stages.transform(held_out).select("features", label).persist()
-
-            def errors(combination: dict) -> list[float]:
-                longest = boosted_trees(label, seed, maxIter=lengths[-1], **combination)
-                squared = longest.fit(rows).evaluateEachIteration(check, "squared")
-                return [sqrt(squared[n - 1]) for n in lengths]
-
-            try:
-                with ThreadPool(parallelism) as pool:
-                    task = inheritable_thread_target(train.sparkSession)(errors)
-                    found = pool.map(task, combinations)
-            finally:
-                check.unpersist()
-        for number, value in enumerate(chain.from_iterable(found)):
-            rmse[number].append(value)
+
+    with ExitStack() as held:
+        parts = [held.enter_context(_fold_rows(folded, k, spec, label)) for k in range(folds)]
+
+        def errors(task: tuple[int, int]) -> list[float]:
+            fold, number = task
+            rows, check, _ = parts[fold]
+            longest = _weighted(label, seed, maxIter=lengths[-1], **combinations[number])
+            squared = longest.fit(rows).evaluateEachIteration(check, "squared")
+            return [sqrt(squared[n - 1]) for n in lengths]
+
+        tasks = list(product(range(folds), range(len(combinations))))
+        with ThreadPool(parallelism) as pool:
+            run = inheritable_thread_target(train.sparkSession)(errors)
+            for (_, number), found in zip(tasks, pool.map(run, tasks, chunksize=1)):
+                for place, value in enumerate(found):
+                    rmse[number * len(lengths) + place].append(value)
 
     best = points[min(range(len(points)), key=lambda i: fmean(rmse[i]))]
-    return Search(points, rmse, best, fit(train, spec, boosted_trees(label, seed, **best)))
+    return Search(points, rmse, best, _fit_cells(train, spec, label, seed, best))
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Preprocessing whose rows can be merged without a change of what a tree learner sees.
+
+    A learner cuts each column into ranges first and then knows of a value only its range.  The
+    same is done here over all rows, as a stage of ``stages``: columns of many values become the
+    number of their range between quantiles.  Rows with equal features make a cell, of which the
+    squared error and the trees depend on the number of labels, their mean and their variance
+    only.  A cell is two weighted rows that have these three, or one if all its labels are equal.
+    There are so many cells as combinations of ranges at most, however many rows there are.
+
+    Tables of fewer than ``MERGE_FROM`` rows are left as they are, with weight 1.
+    """
+
+    stages: PipelineModel
+    merges: bool
+
+    @classmethod
+    def fit(cls, train: DataFrame, spec: FeatureSpec) -> Cells:
+        model = Pipeline(stages=preprocessing_stages(spec, _gaps(train, spec))).fit(train)
+        rows = model.transform(train)
+        numbers = [name for name in spec.inputs if isinstance(rows.schema[name].dataType, NumericType)]
+        if rows.count() < MERGE_FROM:
+            return cls(model, False)
+        # Splits of a column with few values are between all of them, as the learner has them.
+        ranks = [i / BINS for i in range(1, BINS)]
+        found = rows.agg(
+            F.struct(*(F.approx_count_distinct(quoted(name)).alias(name) for name in numbers)).alias("n"),
+            F.struct(*(F.percentile_approx(quoted(name), ranks).alias(name) for name in numbers)).alias("at"),
+        ).first()
+        cut = {name: sorted(set(found["at"][name])) for name in numbers if found["n"][name] > 2 * BINS}
+        if not cut:
+            return cls(model, True)
+        ends = float("inf")
+        ranges = Bucketizer(
+            splitsArray=[[-ends, *(x for x in splits if abs(x) < ends), ends] for splits in cut.values()],
+            inputCols=list(cut),
+            outputCols=[f"{name}_range" for name in cut],
+            handleInvalid="error",
+        )
+        inputs = [f"{name}_range" if name in cut else name for name in spec.inputs]
+        assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+        return cls(PipelineModel([*model.stages[:-1], ranges, assembler]), True)
+
+    def rows(self, df: DataFrame, label: str, *keep: str) -> DataFrame:
+        """(features, label, the kept columns, weight) of the rows, or of their cells."""
+        rows = self.stages.transform(df).select("features", F.col(label).cast("double").alias(label), *keep)
+        if not self.merges:
+            return rows.withColumn(WEIGHT, F.lit(1.0))
+        cells = rows.groupBy("features", *keep).agg(
+            F.count("*").alias("n"),
+            # A missing label is for the learner to reject.
+            F.when(F.count(label) == F.count("*"), F.avg(label)).alias("mean"),
+            F.stddev_pop(label).alias("apart"),
+        )
+        mean, apart, n = F.col("mean"), F.col("apart"), F.col("n").cast("double")
+        two = [F.struct(x.alias(label), (n / 2).alias(WEIGHT)) for x in (mean - apart, mean + apart)]
+        one = F.array(F.struct(mean.alias(label), n.alias(WEIGHT)))
+        # A fit passes over them hundreds of times: as many tasks as cores, not as shuffle partitions.
+        cells = cells.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+        return cells.select("features", *keep, F.inline(F.when(apart > 0, F.array(*two)).otherwise(one)))
+
+
+def _weighted(label: str, seed: int | None, **params) -> GBTRegressor:
+    return boosted_trees(label, seed, weightCol=WEIGHT, **params)
+
+
+def _fit_cells(train: DataFrame, spec: FeatureSpec, label: str, seed: int, params: dict) -> PipelineModel:
+    """Preprocessing and boosted trees, fitted on the cells of the training rows."""
+    cells = Cells.fit(train, spec)
+    rows = cells.rows(train, label).persist()
+    try:
+        return PipelineModel([*cells.stages.stages, _weighted(label, seed, **params).fit(rows)])
+    finally:
+        rows.unpersist()
 
 
 @contextmanager
 def _fold_rows(
-    folded: DataFrame, fold: int, spec: FeatureSpec, label: str, stop: Column
+    folded: DataFrame, fold: int, spec: FeatureSpec, label: str, stop: Column | None = None
 ) -> Iterator[tuple[DataFrame, DataFrame, bool]]:
     """Cached rows to learn from, with the mark of those that tell when to stop; rows held out.
 
     Preprocessing is fitted on the rows without the mark.  The last value says whether any row
     has it.
     """
-    train = folded.filter(F.col(FOLD) != fold).withColumn(STOP, stop)
-    learned = train.filter(~F.col(STOP))
-    stages = Pipeline(stages=preprocessing_stages(spec, _gaps(learned, spec))).fit(learned)
-    rows = stages.transform(train).select("features", label, STOP).persist()
-    check = stages.transform(folded.filter(F.col(FOLD) == fold)).select("features", label).persist()
+    train = folded.filter(F.col(FOLD) != fold)
+    marked = train.withColumn(STOP, F.lit(False) if stop is None else stop)
+    cells = Cells.fit(train if stop is None else marked.filter(~F.col(STOP)), spec)
+    rows = cells.rows(marked, label, STOP).persist()
+    check = cells.rows(folded.filter(F.col(FOLD) == fold), label).persist()
     try:
-        yield rows, check, not rows.filter(STOP).isEmpty()
+        yield rows, check, stop is not None and not rows.filter(STOP).isEmpty()
     finally:
         rows.unpersist()
         check.unpersist()
@@ -265,7 +348,7 @@ def halve_boosting(
             number, length, fold = task
             rows, check, stops = parts[fold]
             early = {"validationIndicatorCol": STOP, "validationTol": tolerance} if stops else {}
-            model = boosted_trees(label, seed, maxIter=length, **early, **combinations[number]).fit(rows)
+            model = _weighted(label, seed, maxIter=length, **early, **combinations[number]).fit(rows)
             return sqrt(model.evaluateEachIteration(check, "squared")[-1]), model.getNumTrees
 
         running = list(range(len(combinations)))
@@ -282,5 +365,5 @@ def halve_boosting(
 
     scored = [i for i, found in enumerate(rmse) if found]
     winner = min(scored, key=lambda i: fmean(rmse[i]))
-    final = boosted_trees(label, seed, **(points[winner] | {"maxIter": trees[winner]}))
-    return Search(points, rmse, points[winner], fit(train, spec, final))
+    grown = points[winner] | {"maxIter": trees[winner]}
+    return Search(points, rmse, points[winner], _fit_cells(train, spec, label, seed, grown))

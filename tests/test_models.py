@@ -135,6 +135,58 @@ def test_runs_of_a_search_end_early(frame):
     assert found.best["maxIter"] == 20 and found.model.stages[-1].getNumTrees < 20
 
 
+def test_searches_on_cells_equal_those_on_rows(frame, monkeypatch):
+    """Rows that are equal but for their labels, in cells of several rows."""
+    k = F.col("id")
+    rows = frame.withColumns({"size": (k % 5).cast("double"), "direction": (k % 3 * 90).cast("double")})
+    grid = {"maxDepth": [2, 3], "maxIter": [3, 9], "stepSize": [0.3]}
+    options = {"keys": ["id"], "folds": 2, "seed": 5}
+    halving = options | {"stop_percent": 20, "tolerance": 0.2}
+    searches = []
+    for least in (modeling.MERGE_FROM, 1):
+        monkeypatch.setattr(modeling, "MERGE_FROM", least)
+        found = modeling.tune_boosting(rows, SPEC, "label", grid, **options)
+        searches.append((found, modeling.halve_boosting(rows, SPEC, "label", grid, **halving)))
+    for plain, merged in zip(*searches):
+        assert plain.best == merged.best and plain.points == merged.points
+        assert [pytest.approx(r) for r in plain.rmse] == merged.rmse
+        both = plain.model.transform(rows).select("id", F.col("prediction").alias("p"))
+        both = both.join(merged.model.transform(rows), "id")
+        assert both.filter("abs(p - prediction) > 1e-6").count() == 0
+    trees = [halved.model.stages[-1].getNumTrees for _, halved in searches]
+    assert trees[0] == trees[1] < 9
+
+
+def test_learning_rows_of_searches_are_bounded(spark, monkeypatch):
+    """Columns with a value of their own in every row: cells stay few, and keep what labels sum to."""
+    monkeypatch.setattr(modeling, "MERGE_FROM", 1000)
+    spec = FeatureSpec(numeric=("x", "y"), categorical=("use",), order=("x", "y", "use"))
+    k, sizes = F.col("id"), []
+    for n in (20_000, 80_000):
+        df = spark.range(n).select(
+            (k * 7919 % n / n).alias("x"),
+            (k * 104_729 % n).cast("double").alias("y"),
+            F.when(k % 2 == 0, "a").otherwise("b").alias("use"),
+            (k % 17 + k * 7919 % n / n).alias("label"),
+        )
+        cells = modeling.Cells.fit(df, spec)
+        rows = cells.rows(df, "label").cache()
+        sizes.append(rows.count())
+        weight, label = F.col("_weight"), F.col("label")
+        sums = rows.agg(F.sum(weight), F.sum(weight * label), F.sum(weight * label * label)).first()
+        plain = df.agg(F.count("*"), F.sum("label"), F.sum(label * label)).first()
+        assert list(sums) == pytest.approx(list(plain))
+        # A learner with the same resolution errs as little on the rows as one that saw them all.
+        own = GBTRegressor(labelCol="label", maxIter=3, weightCol="_weight", seed=1).fit(rows)
+        theirs = modeling.fit(df, spec, GBTRegressor(labelCol="label", maxIter=3, seed=1))
+        errors = [
+            scores(model.transform(df), "label")["rmse"]
+            for model in (modeling.PipelineModel([*cells.stages.stages, own]), theirs)
+        ]
+        assert errors[0] == pytest.approx(errors[1], rel=0.01)
+    assert max(sizes) <= 2 * 33 * 33 * 2
+
+
 def test_grids():
     assert math.prod(map(len, modeling.FULL_GRID.values())) == 27
     assert math.prod(map(len, modeling.SMALL_GRID.values())) == 4
