@@ -57,7 +57,11 @@ def shingle_hashes(words: list[bytes], size: int = WORDS) -> list[int]:
 
 def fingerprint_of(text: str | None, size: int = WORDS) -> int:
     """The fingerprint as a signed 64-bit integer."""
-    hashes = shingle_hashes(words_of(text), size)
+    return bits_of(shingle_hashes(words_of(text), size))
+
+
+def bits_of(hashes: list[int]) -> int:
+    """The bits that more than half of the hashes have, as a signed 64-bit integer."""
     if not hashes:
         return 0
     rows = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)

@@ -295,6 +295,42 @@ def test_edited_copies_go_at_a_similarity_of_four_fifths(spark, large, monkeypat
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label))
 
 
+def test_fingerprints_of_the_similar_stage_link_on_their_own(spark, monkeypatch):
+    """Without the filter on shingles: copies within three bits go, if their sets are similar."""
+    monkeypatch.setattr(similar, "_met", lambda sets, similarity: sets.select("row", "row").toDF("a", "b").limit(0))
+    rnd = random.Random(4)
+    base = [f"w{rnd.randrange(500)}" for _ in range(600)]
+    edits = [base[:-1] + ["last"], [*base, "more"], base[:300] + ["in"] + base[300:]]
+    texts = [" ".join(words) for words in (base, *edits)]
+    texts += [f"other {i} " + " ".join(rnd.sample(base, 200)) for i in range(5)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], COLUMNS).repartition(3)
+    prints = [plain_fingerprint_of(t, 5) for t in texts]
+    sets = [plain_set(t) for t in texts]
+    n = len(texts)
+    near = [[(prints[i] ^ prints[j]).bit_count() <= 3 and plain_jaccard(sets[i], sets[j]) >= 0.8 for j in range(n)] for i in range(n)]
+    label = list(range(n))
+    for i in range(n):
+        for j in range(i):
+            if near[i][j]:
+                old, new = label[i], label[j]
+                label = [min(old, new) if x in (old, new) else x for x in label]
+    assert len(set(label)) < n
+    kept = similar.drop_similar(df)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(label))
+
+
+def plain_fingerprint_of(text, size):
+    words = text.encode().translate(simhash_lower()).split()
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + size]), 42) for i in range(len(words) - size + 1)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_known_groups_are_taken_over():
+    sets = [np.array(x, dtype=np.uint64) for x in ([1, 2, 3], [7, 8, 9], [1, 2, 3], [20, 21], [30, 31])]
+    root = similar.linked_sets(sets, 0.8, [None, 5, None, 5, None])
+    assert root[0] == root[2] and root[1] == root[3] and len(set(root.tolist())) == 3
+
+
 def test_similar_stage_on_awkward_rows(docs, rows, empty):
     kept = similar.drop_similar(docs)
     sets = {frozenset(plain_set(t)) for _, t, *_ in rows}
