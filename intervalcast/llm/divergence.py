@@ -22,11 +22,11 @@ terms has value 0 for all pairs.  An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +41,8 @@ WIDTH = 64  # bits of a digest
 
 # Distinct (group, term) held by a task before they are handed on; changes no result.
 HELD = 600_000
+PENDING = 200_000  # words counted at once; changes no result
+LOW = (1 << 32) - 1
 
 # Letters to lower case, other ASCII to blanks; all bytes beyond ASCII belong to terms.
 TERM_BYTES = bytes(
@@ -59,56 +61,96 @@ def digest_of(term: bytes, width: int = WIDTH) -> int:
     return value - 2**64 if value >= 2**63 else value
 
 
+class Numbers(dict):
+    """Numbers of what it was asked for, in the order of the first time."""
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        return number
+
+
 class Held:
-    """Counts of a task: for each group its terms, for each language in how many documents."""
+    """Counts of a task: for each group its terms, for each language in how many documents.
+
+    Terms are numbered once; what is counted are pairs of a group's (or language's) and a term's
+    number in one integer, sorted and added up whenever ``PENDING`` words more are there.
+    """
 
     def __init__(self) -> None:
-        self.counts: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
-        self.docs: dict[str, Counter] = defaultdict(Counter)
-        self.size = 0
+        self.terms, self.groups, self.langs = Numbers(), Numbers(), Numbers()
+        none = np.empty(0, dtype=np.int64)
+        self.cells, self.docs = (none, none), (none, none)
+        self.pending: list[tuple[int, int, np.ndarray]] = []
+        self.waiting = 0
+
+    @property
+    def size(self) -> int:
+        return len(self.cells[0])
 
     def add(self, lang: str, source: str, text: str) -> None:
         terms = text.encode().translate(TERM_BYTES).split()
-        counts = self.counts[lang][source]
-        before = len(counts)
-        counts.update(terms)
-        self.docs[lang].update(set(terms))
-        self.size += len(counts) - before
+        if terms:
+            at = np.fromiter(map(self.terms.__getitem__, terms), np.int64, len(terms))
+            self.pending.append((self.groups[lang, source], self.langs[lang], at))
+            self.waiting += len(at)
+            if self.waiting > min(PENDING, HELD):
+                self.settle()
+
+    def settle(self) -> None:
+        if not self.pending:
+            return
+        groups, langs, parts = zip(*self.pending, strict=True)
+        place = np.repeat(np.arange(len(parts)) << 32, [len(part) for part in parts])
+        met, n = np.unique(place | np.concatenate(parts), return_counts=True)
+        doc, term = met >> 32, met & LOW
+        self.cells = summed_up(self.cells, (np.array(groups)[doc] << 32) | term, n)
+        self.docs = summed_up(self.docs, (np.array(langs)[doc] << 32) | term, np.ones_like(n))
+        self.pending, self.waiting = [], 0
 
     def rows(self, width: int) -> Iterator[pa.RecordBatch]:
         """A row per language and term.  Sorted, since texts alike lie well together in storage."""
-        for lang, groups in self.counts.items():
-            docs, own = self.docs[lang], list(groups.values())
-            terms = sorted(docs)
-            if not terms:
-                continue
-            place = dict(zip(terms, range(len(terms)), strict=True)).__getitem__
-            sizes = [len(counts) for counts in own]
-            at = np.concatenate([np.fromiter(map(place, c), np.int64, len(c)) for c in own])
-            n = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in own])
-            order = np.argsort(at, kind="stable")
-            ends = np.r_[0, np.cumsum(np.bincount(at, minlength=len(terms)))]
-            n = n[order]
-            sources = pa.array(list(groups), type=pa.string())
-            sources = sources.take(pa.array(np.repeat(np.arange(len(own)), sizes)[order]))
-            occurrences = np.add.reduceat(n, ends[:-1])
-            for start in range(0, len(terms), 50_000):
-                part = terms[start : start + 50_000]
-                stop = start + len(part)
-                cells = slice(int(ends[start]), int(ends[stop]))
-                inside = pa.array(ends[start : stop + 1] - ends[start], type=pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(part), type=pa.string()),
-                        pa.array([digest_of(term, width) for term in part], type=pa.int64()),
-                        pa.array(part, type=pa.binary()).cast(pa.string()),
-                        pa.array([docs[term] for term in part], type=pa.int64()),
-                        pa.array(occurrences[start:stop]),
-                        pa.ListArray.from_arrays(inside, sources[cells]),
-                        pa.ListArray.from_arrays(inside, pa.array(n[cells])),
-                    ],
-                    names=["lang", "digest", "term", "docs", "occurrences", "sources", "counts"],
-                )
+        self.settle()
+        names = pa.array(list(self.terms), type=pa.binary())
+        rank = np.empty(len(names), dtype=np.int64)
+        rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+        groups = list(self.groups)
+        sources = pa.array([source for _, source in groups], type=pa.string())
+        lang_of = np.array([self.langs[lang] for lang, _ in groups], dtype=np.int64)
+        group, term = self.cells[0] >> 32, self.cells[0] & LOW
+        order = np.lexsort((group, rank[term], lang_of[group]))
+        group, term, n = group[order], term[order], self.cells[1][order]
+        key = (lang_of[group] << 32) | term
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+        ends = np.r_[starts, len(key)]
+        docs = self.docs[1][np.searchsorted(self.docs[0], key[starts])]
+        langs = pa.array(list(self.langs), type=pa.string())
+        for at in range(0, len(starts), 50_000):
+            first = starts[at : at + 50_000]
+            stop = at + len(first)
+            cells = slice(int(ends[at]), int(ends[stop]))
+            inside = pa.array(ends[at : stop + 1] - ends[at], type=pa.int32())
+            texts = names.take(pa.array(term[first]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    langs.take(pa.array(lang_of[group[first]])),
+                    pa.array([digest_of(text, width) for text in texts.to_pylist()], type=pa.int64()),
+                    texts.cast(pa.string()),
+                    pa.array(docs[at:stop]),
+                    pa.array(np.add.reduceat(n[cells], ends[at:stop] - ends[at])),
+                    pa.ListArray.from_arrays(inside, sources.take(pa.array(group[cells]))),
+                    pa.ListArray.from_arrays(inside, pa.array(n[cells])),
+                ],
+                names=["lang", "digest", "term", "docs", "occurrences", "sources", "counts"],
+            )
+
+
+def summed_up(known: tuple[np.ndarray, np.ndarray], keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their sums, with more of them."""
+    keys, n = np.concatenate([known[0], keys]), np.concatenate([known[1], n])
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(n, first)
 
 
 def counted(docs: DataFrame, width: int = WIDTH) -> DataFrame:
